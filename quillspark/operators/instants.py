@@ -19,6 +19,8 @@ import zoneinfo
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Offsets in minutes of zone abbreviations that name one offset.
 ABBREVIATIONS = {
     "Z": 0, "UT": 0, "UTC": 0, "GMT": 0, "WET": 0,
@@ -77,10 +79,12 @@ def zone_intervals(zones: DataFrame, zone_col: str = "zone", years: tuple[int, i
     z = zones.select(F.col(zone_col).alias("zone")).where(F.col("zone").isin(known)).distinct()
     first, last = (f"{years[0]}-01-01", f"{years[1] + 1}-01-01")
     offset = lambda at: F.unix_seconds(F.from_utc_timestamp(at, F.col("zone"))) - F.unix_seconds(at)
-    days = z.select("zone", F.explode(F.expr(f"sequence(timestamp'{first} 00:00:00', timestamp'{last} 00:00:00', interval 1 day)")).alias("day"))
-    days = days.withColumn("next", F.col("day") + F.expr("interval 1 day")).where(offset(F.col("day")) != offset(F.col("next")))
-    minutes = days.select("zone", F.explode(F.expr("sequence(day + interval 1 minute, next, interval 1 minute)")).alias("at"))
-    changed = minutes.where(offset(F.col("at")) != offset(F.col("at") - F.expr("interval 1 minute"))).select("zone", "at")
+    # Days on which the offset changes, then the hour, then the minute.
+    changed = z.withColumn("at", F.expr(f"timestamp'{first} 00:00:00'"))
+    for reach, step in ((f"timestamp'{last} 00:00:00'", "1 day"), ("at + interval 23 hour", "1 hour"), ("at + interval 59 minute", "1 minute")):
+        probes = changed.select("zone", F.explode(F.expr(f"sequence(at, {reach}, interval {step})")).alias("at"))
+        changed = probes.where(offset(F.col("at")) != offset(F.col("at") + F.expr(f"interval {step}")))
+    changed = changed.select("zone", (F.col("at") + F.expr("interval 1 minute")).alias("at"))
     starts = changed.unionByName(z.select("zone", F.expr(f"timestamp'{first} 00:00:00'").alias("at")))
     w = Window.partitionBy("zone").orderBy("at")
     far = 1 << 60
@@ -200,7 +204,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = spark.read.parquet(f"{sf_dir}/export_batches.parquet").select("export_batch", "home_zone", "date_order")  # fixed table
     rows = timed_rows(spark, sf_dir).where(~F.col("time_text").rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"))
     zones = _regions(rows, "time_text").distinct()
-    intervals = zone_intervals(zones.unionByName(batches.select(F.col("home_zone").alias("zone"))))
+    intervals = cut(zone_intervals(zones.unionByName(batches.select(F.col("home_zone").alias("zone")))))
     rows = rows.join(F.broadcast(batches), "export_batch", "left")
     return normalise_instants(rows, "time_text", "home_zone", "date_order", intervals).where(F.col("epoch_ms").isNotNull()).select("tbl", "row_id", F.col("epoch_ms").cast("long").alias("epoch_ms"))
 
