@@ -17,6 +17,7 @@ rows count each on their own. Texts of any length are processed whole; extra col
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -42,28 +43,41 @@ TITLES = ["Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Mr.", "Mrs.", "Ms.", "Dr.",
 _U, _L = "A-ZÀ-ÖØ-Þ", "a-zß-öø-ÿ"
 _NAME = f"[{_U}][{_L}]+"
 _PAIR = f"({_NAME}) ({_NAME}(?:-{_NAME})?)"
-#: Places where only a full name stands; each has the groups (given name, surname).
-NAME_PLACES = [
-    rf"(?m)(?:^|[>\s]){_PAIR} <[^<>\s@]+@", rf"(?:, |Am .{{1,20}} schrieb |schrieb ){_PAIR}(?: wrote)?:", rf"{_PAIR} (?:wrote|writes|schrieb)\b",
-    rf"(?:belongs to|gehört zu|According to|You can reach|idea why|fragen nach|und nach|, sagt|bei Frau|bei Herrn) {_PAIR}\b",
-    rf"(?m)^(?:[>\s]*){_PAIR}(?: / | · )", rf"(?m)^(?:[>\s]*)(?:--\s+){_PAIR}$", rf"{_PAIR} (?:answers at|ist unter|wohnt jetzt)", rf"{_PAIR}['’]s flat",
-]
+#: Marks before and after a pair of capitalised words that make it a full name.
+_PAIR_RE = re.compile(rf"(?<![\w@.\-])({_NAME}) ({_NAME}(?:-{_NAME})?)(?![\w@])")
+_NAME_BEFORE = re.compile(r"(?:belongs to|gehört zu|According to|can reach|idea why|und nach|, sagt|(?:^|[>|¦»]\s?)--|schrieb)\s$|^On .{8,40}, $")
+_NAME_AFTER = re.compile(r" <[^<>\s@]+@|:?$(?<=:)| (?:wrote|writes|schrieb|answers at|ist unter|wohnt jetzt)\b| (?:/|·) |['’]s flat")
 NAME_PLACES_ZH = r"([" + SURNAMES_ZH + r"])([一-鿿]{2})(?: <[^<>\s@]+@|於\d{4}|寫道| / | · |的身分證|的證號|的統編|住在|（[^）\s]{1,40}[@＠])"
 
 
+_ZH_RE = re.compile(NAME_PLACES_ZH)
+
+
+def _count_names(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Partial counts of (given name, surname), and of the characters of Chinese given names (surname null)."""
+    for pdf in it:
+        n: Counter = Counter()
+        for text in pdf["text"]:
+            for line in text.split("\n"):
+                for m in _PAIR_RE.finditer(line):
+                    if _NAME_AFTER.match(line, m.end()) or _NAME_BEFORE.search(line, max(0, m.start() - 60), m.start()):
+                        n[m[1], m[2]] += 1
+                if not line.isascii():
+                    for m in _ZH_RE.finditer(line):
+                        n[m[2][0], None] += 1
+                        n[m[2][1], None] += 1
+        yield pd.DataFrame([(g, s, k) for (g, s), k in n.items()], columns=["g", "s", "n"])
+
+
 def name_vocabulary(texts: DataFrame) -> DataFrame:
     """kind (given, surname, zh), name, n: the names learned from `texts` (column text)."""
-    found = None
-    for k, place in enumerate(NAME_PLACES):
-        x = texts.select(F.explode(F.array_distinct(F.arrays_zip(F.regexp_extract_all("text", F.lit(place), F.lit(1)).alias("g"), F.regexp_extract_all("text", F.lit(place), F.lit(2)).alias("s")))).alias("p"))
-        x = x.select(F.col("p.g").alias("g"), F.col("p.s").alias("s"))
-        found = x if found is None else found.unionByName(x)
-    pairs = found.groupBy("g", "s").agg(F.count("*").alias("n"))
+    counted = texts.select("text").mapInPandas(_count_names, "g string, s string, n long")
+    counted = cut(counted.groupBy("g", "s").agg(F.sum("n").alias("n")))
+    pairs = counted.where("s is not null")
     # A given name goes with several surnames and a surname with several given names, or the pair is frequent.
     given = pairs.groupBy("g").agg(F.sum("n").alias("n"), F.count("*").alias("m")).where((F.col("m") >= 3) & (F.col("n") >= 4) & ~F.col("g").isin(TITLES)).select(F.lit("given").alias("kind"), F.col("g").alias("name"), "n")
     surname = pairs.join(given.select(F.col("name").alias("g")), "g", "left_semi").groupBy("s").agg(F.sum("n").alias("n")).where("n >= 2").select(F.lit("surname").alias("kind"), F.col("s").alias("name"), "n")
-    zh = texts.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(NAME_PLACES_ZH), F.lit(2)))).alias("z"))
-    zh = zh.select(F.explode(F.split("z", "")).alias("name")).where("name <> ''").groupBy("name").agg(F.count("*").alias("n"))
+    zh = counted.where("s is null").select(F.col("g").alias("name"), "n")
     total = zh.agg(F.sum("n").alias("total"))
     zh = zh.join(F.broadcast(total)).where("n >= 0.004 * total and n >= 3").select(F.lit("zh").alias("kind"), "name", "n")
     return given.unionByName(surname).unionByName(zh)
@@ -91,6 +105,9 @@ _ADDR_DE = re.compile(rf"(?<![\w\-])[{_U}][\w\-]*?(?:{'|'.join(re.escape(x) for
 _ADDR_ZH = re.compile(r"[一-鿿]{2}[市縣](?:[一-鿿]{1,3}[區鄉鎮市])?[一-鿿]{1,4}?(?:路|街|大道|巷)(?:[\d一二三四五六七八九十]+段)?(?:\d+巷)?(?:\d+弄)?\d+(?:之\d+)?號(?:\d+樓)?(?:之\d+)?")
 
 
+_DIGIT = re.compile(r"\d")
+
+
 class Parser:
     """The parsers of one worker, for a vocabulary of names."""
 
@@ -103,11 +120,12 @@ class Parser:
         self.zh = "".join(sorted(zh))
         self.zh_name = re.compile(f"[{SURNAMES_ZH}]?[{self.zh}]{{2}}") if zh else None
         self.anchors = ahocorasick.Automaton()
-        for kind, words in (("at", ["@", "[at]", "(at)", "{at}", "<at>", " at ", "[ät]", "(ät)", "[AT]", "(AT)", " AT ", "[@]"]), ("en", STREET_WORDS), ("de", [f"{x} " for x in STREET_ENDS]), ("zh", ["號"]), ("digit", list("0123456789")), ("tax", ["統編", "統一編號"])):
-            for w in words:
-                self.anchors.add_word(w, kind)
+        at = ["@", "＠", "[at]", "(at)", "{at}", "<at>", "[ät]", "(ät)", " at ", "[@]"]
+        for kind, found in (("at", at), ("en", [f" {x.lower()}" for x in STREET_WORDS]), ("de", [f"{x} " for x in STREET_ENDS]), ("zh", ["號"]), ("tax", ["統編", "統一編號"]), ("name", self.lower[0] | self.lower[1])):
+            for w in found:
+                old = self.anchors.get(w, (frozenset(), 0))
+                self.anchors.add_word(w, (old[0] | {kind}, len(w)))
         self.anchors.make_automaton()
-        self.word = re.compile(rf"[^\W\d_]+(?:-[^\W\d_]+)*|[^\x00-\x7f\s，。、：；！？「」（）<>]+", re.U)
 
     def find(self, text: str) -> set[tuple[str, str]]:
         out: set[tuple[str, str]] = set()
@@ -118,8 +136,19 @@ class Parser:
 
     def spans(self, line: str) -> list[tuple[int, int, str]]:
         """Places of the data on one line, without overlaps, the surest kind first."""
-        folded = line.translate(_FOLD)
-        kinds = {k for _, k in self.anchors.iter(folded)}
+        plain = line.isascii()
+        folded = line if plain else line.translate(_FOLD)
+        low = line.lower()
+        if len(low) != len(line):
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in line)
+        kinds, names = set(), []
+        for end, (k, size) in self.anchors.iter(low):
+            kinds |= k
+            if "name" in k:
+                a = end + 1 - size
+                if not (a and low[a - 1].isalpha()) and not low[end + 1 : end + 2].isalpha():
+                    names.append((a, end + 1))
+        digits = len(_DIGIT.findall(folded))
         got: list[tuple[int, int, str]] = []
         free = lambda a, b: all(b <= x or a >= y for x, y, _ in got)
 
@@ -133,7 +162,7 @@ class Parser:
             for m in _EMAIL.finditer(folded):
                 if " at " not in m[0].lower() or re.search(r"[ \[({<](?:dot|punkt)[ \])}>]|\.", m[0].lower().partition(" at ")[2]):
                     take(m.start(), m.end(), "email")
-        if "digit" in kinds:
+        if digits:
             if "zh" in kinds:
                 for m in _ADDR_ZH.finditer(folded):
                     a = m.start()
@@ -150,25 +179,28 @@ class Parser:
             if "tax" in kinds:
                 for m in _ZH_TAX.finditer(folded):
                     take(m.start(1), m.end(1), "id_no")
-            for m in _ID.finditer(folded):
+            for m in _ID.finditer(folded) if digits >= 6 else ():
                 if re.search(r"\d{9}$", m[0]) and m[0].isdigit() and len(m[0]) == 9:
                     continue
                 if not _NO_ID_BEFORE.search(folded[: m.start()]) and not re.match(r"\d{11}$", m[0]):
                     take(m.start(), m.end(), "id_no")
-            for m in _PHONE.finditer(folded):
+            for m in _PHONE.finditer(folded) if digits >= 8 else ():
                 n = sum(c.isdigit() for c in m[0])
                 if 8 <= n <= 15 and not _NO_ID_BEFORE.search(folded[: m.start()]) and not re.match(r"(?:19|20)\d{2}[.\-]", m[0]) and not re.match(r"\d{2}[./\-]\d{2}[./\-]\d{4}$", m[0]):
                     take(m.start(), m.end(), "phone")
-        self._people(line, take)
+        self._people(line, names, plain, take)
         return got
 
-    def _people(self, line: str, take: Callable) -> None:
-        words = [(m.start(), m.end(), m[0]) for m in self.word.finditer(line)]
+    def _people(self, line: str, names: list[tuple[int, int]], plain: bool, take: Callable) -> None:
+        longest: dict[int, int] = {}
+        for a, b in names:
+            longest[a] = max(b, longest.get(a, 0))
+        words = [(a, b, line[a:b]) for a, b in sorted(longest.items())]
         i = 0
         while i < len(words):
             a, b, w = words[i]
             nxt = words[i + 1] if i + 1 < len(words) and line[b : words[i + 1][0]] == " " else None
-            before = line[:a]
+            before = line[max(0, a - 12) : a]
             joined = (before[-1:] in ("@", "_", "+", "＠", "/")) or re.match(r"[@＠_+]|\.[A-Za-z0-9]", line[b:]) or re.search(r"[\w][.\-]$", before) and not re.search(r"(?:^|[^\w])[A-Z]\.$", before)
             if joined:
                 i += 1
@@ -194,7 +226,7 @@ class Parser:
             elif w.lower() in self.lower[1] and w.isupper() and len(w) > 3:
                 take(a, b, "person")
             i += 1
-        if self.zh_name:
+        if self.zh_name and not plain:
             for m in self.zh_name.finditer(line):
                 take(m.start(), m.end(), "person")
 
