@@ -55,7 +55,7 @@ def with_furniture(lines: DataFrame) -> DataFrame:
     x = x.withColumn("page", F.col("number") & ~listed)
     value = F.translate(F.regexp_extract("s", rf"({_NUM})", 1), "lI|O", "1110").try_cast("int")
     style = F.regexp_replace("s", "[0-9lIO|]+", "#")
-    styles = x.where("page").groupBy("file_name", style.alias("style")).agg(F.count("*").alias("n"), F.corr(value.cast("double"), F.col("chunk_index").cast("double")).alias("rising"))
+    styles = x.where("page").groupBy("file_name", style.alias("style")).agg(F.count("*").alias("n"), F.try_divide(F.covar_pop(value.cast("double"), F.col("chunk_index").cast("double")), F.stddev_pop(value) * F.stddev_pop("chunk_index")).alias("rising"))
     numbered = styles.where("n < 4 or rising is null or rising > 0.3").select("file_name", "style", F.lit(True).alias("is_style"))
     x = x.withColumn("style", F.when(F.col("page"), style)).join(numbered, ["file_name", "style"], "left").withColumn("page_no", F.col("page") & F.coalesce("is_style", F.lit(False)))
     # Headers: short lines without an end mark that return in the file, digits and misread glyphs aside.
