@@ -1 +1 @@
-"""See the modules of this package."""
+"""Whole runs: configuration, the chain from exports to the chunk table, and the registered queries."""
