@@ -113,13 +113,16 @@ def misread_words(body: DataFrame, broken: DataFrame) -> DataFrame:
     w = x.select("id", "line_no", F.posexplode("w").alias("i", "word"), F.col("w")).where(F.col("word").rlike(r"\p{L}"))
     w = w.select("id", "line_no", F.col("word").alias("raw"), F.lower("word").alias("word"), F.lower(F.get("w", F.col("i") - 1)).alias("p"), F.lower(F.get("w", F.col("i") + 1)).alias("q"))
     w = w.where(~F.col("word").rlike("[一-鿿]"))
-    counts = w.groupBy("word").agg(F.count("*").alias("n"), F.count_distinct("id").alias("docs"))
+    # Pairs of neighbours, counted once: they give the words' counts and what stands before and after each word.
+    pairs = cut(w.groupBy("p", "word").agg(F.count("*").alias("n")))
+    counts = pairs.groupBy("word").agg(F.sum("n").alias("n"))
     plain = F.col("word").rlike(r"^[\p{L}'’]+$")
     forms = counts.withColumn("key", skeleton(F.col("word")))
     top = forms.where(plain).groupBy("key").agg(F.max(F.struct("n", "word")).alias("top")).select("key", F.col("top.word").alias("right"), F.col("top.n").alias("n_right"))
     rare = forms.where(F.length("word") >= 2).join(top, "key").where((F.col("word") != F.col("right")) & (F.col("n_right") >= 5) & (F.col("n") * 8 <= F.col("n_right"))).select("word", "n", "right", "n_right")
-    usual = w.select("p", "word").groupBy("p", "word").agg(F.count("*").alias("n_pw"))
-    after = w.select("word", "q").groupBy("word", "q").agg(F.count("*").alias("n_wq"))
+    rare = cut(rare)
+    usual = pairs.where("p is not null").withColumnRenamed("n", "n_pw")
+    after = pairs.where("p is not null").select(F.col("p").alias("word"), F.col("word").alias("q"), F.col("n").alias("n_wq"))
     x = w.join(rare, "word").join(usual.select("p", F.col("word").alias("right"), "n_pw"), ["p", "right"], "left").join(after.select(F.col("word").alias("right"), "q", "n_wq"), ["right", "q"], "left")
     odd = ~F.col("word").rlike(r"^[\p{L}'’]+$")
     fits = F.coalesce("n_pw", F.lit(0)) + F.coalesce("n_wq", F.lit(0))
@@ -131,7 +134,7 @@ def misread_characters(body: DataFrame) -> DataFrame:
     zh = body.where(F.col("s").rlike("[一-鿿]{3}")).withColumn("t", F.concat(F.lit("^^"), "s", F.lit("$$")))
     x = zh.select("id", "line_no", F.posexplode(F.expr("transform(sequence(1, length(t) - 4), i -> substring(t, i, 5))")).alias("at", "g"))
     x = x.where(F.substring("g", 3, 1).rlike("[一-鿿]")).select("id", "line_no", "at", F.concat(F.substring("g", 1, 2), F.substring("g", 4, 2)).alias("around"), F.substring("g", 3, 1).alias("c"))
-    n = x.groupBy("around", "c").agg(F.count("*").alias("n"))
+    n = cut(x.groupBy("around", "c").agg(F.count("*").alias("n")))
     rule = n.groupBy("around").agg(F.max(F.struct("n", "c")).alias("top")).select("around", F.col("top.c").alias("right"), F.col("top.n").alias("n_right")).where("n_right >= 5")
     rare = n.join(rule, "around").where((F.col("c") != F.col("right")) & (F.col("n") * 8 <= F.col("n_right")))
     pairs = rare.groupBy("c", "right").agg(F.count("*").alias("places"), F.sum("n").alias("times")).where("places >= 4")
