@@ -57,7 +57,7 @@ def judged(docs: DataFrame, analyzer: Analyzer, batch: int = 20, attempts: int =
             texts = pdf["page_content"].tolist()
             for i in range(0, len(texts), batch):
                 rows += with_retry(lambda part=texts[i : i + batch]: [v | {"error": None} for v in analyzer.analyze(part)], len(texts[i : i + batch]), attempts, wait)
-            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(rows, columns=fields)], axis=1)
+            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame([[r.get(f) for f in fields] for r in rows], columns=fields, dtype=object)], axis=1)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInPandas(run, f"{schema}, {verdict}")
@@ -121,7 +121,7 @@ def stale_chunks(target: DataFrame, chunks: DataFrame) -> DataFrame:
 def validated(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that fit the table, dead letters with the error): one bad value fails its own row only."""
     weight = F.col("information_weight").try_cast("decimal(3,2)")
-    errors = [F.when(F.length(c) > n, F.lit(f"{c} is longer than {n}")) for c, n in WIDTHS.items()]
+    errors = [F.when(F.length(c) > n, F.lit(f"{c} is longer than {n}")) for c, n in WIDTHS.items() if c in chunks.columns]
     errors += [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in ("file_name", "raw_content", "content_hash", "chunk_index")]
     errors.append(F.when(F.col("information_weight").isNotNull() & weight.isNull(), F.lit("information_weight is out of range")))
     x = chunks.withColumn("error", F.coalesce(*errors))

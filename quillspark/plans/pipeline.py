@@ -38,9 +38,9 @@ class PipelineConfig:
 def ingest_files(spark: SparkSession, files: DataFrame, config: PipelineConfig, analyzer: ingest.Analyzer, embedder: ingest.Embedder | None = None) -> DataFrame:
     """Flatten, mask, judge, split, compare and upsert rag-ready files (path, doc); gives the run's metrics."""
     docs = exports.flatten_rag(files).withColumn("page_content", masking.mask_text(F.col("page_content"), config.identities, config.sensitive_words))
-    docs = docs.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "doc_pos", "page_content", "data_source", dates.parse_original_time(F.col("original_time")).alias("original_time"))
+    docs = docs.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "doc_pos.*", "page_content", "data_source", dates.parse_original_time(F.col("original_time")).alias("original_time"))
     seen = cut(ingest.judged(docs, analyzer))  # costly and not repeatable
-    kept = seen.where("error is null and not coalesce(is_noise, false)").withColumn("doc_key", F.concat_ws("#", "doc_pos.shape", F.lpad(F.col("doc_pos.i").cast("string"), 12, "0"), F.lpad((F.col("doc_pos.j") + 1).cast("string"), 12, "0")))
+    kept = seen.where("error is null and not coalesce(is_noise, false)").withColumn("doc_key", F.concat_ws("#", "shape", F.lpad(F.col("i").cast("string"), 12, "0"), F.lpad((F.col("j") + 1).cast("string"), 12, "0")))
     chunks = chunking.chunked(kept, "page_content", "file_name", "doc_key", F.expr("substring(doc_key, 1, length(doc_key) - 16)"), config.chunk_size, config.chunk_overlap)
     table = sinks.ChunkTable(spark, config.table_dir)
     chunks = ingest.changed(chunks, table.read())
