@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,3 +55,9 @@ def cut(df: DataFrame) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def light(df: DataFrame, most: int) -> DataFrame:
+    """`df` (cut before, so that counting is cheap) marked for broadcast if it has at most `most` rows; beyond, Spark
+    joins it by a shuffle. Both ways give the same rows."""
+    return broadcast(df) if df.count() <= most else df
