@@ -19,11 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, table
+from ..session import cut, light, table
 
 #: Strokes that a reader of pages takes for each other, in order of application.
 STROKES = [("'i'", "t"), ("vv", "w"), ("m", "lll"), ("w", "vv"), ("n", "ll"), ("u", "ll"), ("h", "ll"), ("b", "ll"), ("d", "el")]
 STROKE_FROM, STROKE_TO = "i1!|rj059@†c$", "llllllosgates"
+#: Misread forms up to so many are broadcast; more are joined by a shuffle.
+LIGHT_ROWS = 200_000
 HYPHENS = "-­‐¬‑"
 _NUM = "[0-9lIO|]{1,4}"
 PAGE_NO = rf"^[-–—·*\[(|~]?\s*(?:(?:P[a@][g9]e|Seite|S\.|p\.|P\.|第)\s*)?{_NUM}(?:\s*(?:/|of|von|0f)\s*{_NUM})?\s*頁?\s*[-–—·*\])|~]?$"
@@ -120,7 +122,7 @@ def misread_words(body: DataFrame, broken: DataFrame) -> DataFrame:
     forms = counts.withColumn("key", skeleton(F.col("word")))
     top = forms.where(plain).groupBy("key").agg(F.max(F.struct("n", "word")).alias("top")).select("key", F.col("top.word").alias("right"), F.col("top.n").alias("n_right"))
     rare = forms.where(F.length("word") >= 2).join(top, "key").where((F.col("word") != F.col("right")) & (F.col("n_right") >= 5) & (F.col("n") * 8 <= F.col("n_right"))).select("word", "n", "right", "n_right")
-    rare = cut(rare)
+    rare = light(cut(rare), LIGHT_ROWS)
     usual = pairs.where("p is not null").withColumnRenamed("n", "n_pw")
     after = pairs.where("p is not null").select(F.col("p").alias("word"), F.col("word").alias("q"), F.col("n").alias("n_wq"))
     x = w.join(rare, "word").join(usual.select("p", F.col("word").alias("right"), "n_pw"), ["p", "right"], "left").join(after.select(F.col("word").alias("right"), "q", "n_wq"), ["right", "q"], "left")
@@ -143,7 +145,7 @@ def misread_characters(body: DataFrame) -> DataFrame:
     # What is seen of a usual character beside its right place must be no mere chance of its many places.
     total = n.groupBy("c").agg(F.sum("n").alias("total"))
     single = single.join(pairs, ["c", "right"]).join(total, "c").where("times >= 0.025 * total").select("c", "right")
-    bad = rare.join(single, ["c", "right"]).select("around", "c", "right")
+    bad = light(cut(rare.join(single, ["c", "right"]).select("around", "c", "right")), LIGHT_ROWS)
     return x.join(bad, ["around", "c"]).select("id", "line_no", "at", "right")
 
 
