@@ -6,8 +6,9 @@ column is masked in one projection.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,3 +74,32 @@ def with_speakers(df: DataFrame, scope: str, speaker: str, order: list[str], ide
     numbers = numbers.select(F.col(scope).alias("__scope"), F.col("__name").alias("__key"), "__n")
     x = x.join(numbers, x[scope].eqNullSafe(numbers["__scope"]) & (x["__name"] == numbers["__key"]), "left")
     return x.withColumn(out, F.when(own, ME).when(F.col("__n").isNotNull(), F.concat(F.lit("[SPEAKER_"), F.col("__n").cast("string"), F.lit("]")))).drop("__name", "__n", "__scope", "__key")
+
+
+#: Kinds of entities that are replaced; others get the general tag.
+ENTITY_TAGS = {"PERSON": "[REDACTED_PERSON]", "LOCATION": "[REDACTED_LOCATION]", "ORGANIZATION": "[REDACTED_ORGANIZATION]"}
+
+
+def mask_entities(c: Column, recognizer: Callable[[str], list[tuple[int, int, str]]] | None = None, tags: Mapping[str, str] | None = None) -> Column:
+    """`c` with the entities that `recognizer` finds, as (start, end, kind), replaced. Off without a recognizer; a
+    text for which it fails stays unchanged."""
+    if recognizer is None:
+        return c
+    names = dict(tags or ENTITY_TAGS)
+
+    def one(t: str | None) -> str | None:
+        if not t or not t.strip():
+            return t
+        try:
+            found = sorted(recognizer(t), reverse=True)
+        except Exception:  # noqa: BLE001
+            return t
+        for a, b, kind in found:
+            t = t[:a] + names.get(kind, f"[REDACTED_{kind}]") + t[b:]
+        return t
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(one)
+
+    return run(c)

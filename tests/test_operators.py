@@ -38,6 +38,18 @@ def test_masking_order_and_nesting(spark):
     assert (r.n, r.thread_id, r.body, r.a[0].c, r.a[0].timestamp, r.sender) == (12345678, "12345678", "x [REDACTED_ID]", "[REDACTED_ID]", "12345678", "12345678")
 
 
+def test_entities_by_a_given_recognizer(spark):
+    def find(t):
+        if "fail" in t:
+            raise ValueError
+        i = t.find("Ann")
+        return [(i, i + 3, "PERSON")] if i >= 0 else []
+
+    df = spark.createDataFrame([("hi Ann!",), ("fail Ann",), (None,), ("",)], "v string")
+    assert [r[0] for r in df.select(masking.mask_entities(F.col("v"), find)).collect()] == ["hi [REDACTED_PERSON]!", "fail Ann", None, ""]
+    assert [r[0] for r in df.select(masking.mask_entities(F.col("v"))).collect()] == ["hi Ann!", "fail Ann", None, ""]
+
+
 def test_comments_meet_their_first_post(spark):
     r = random.Random(4)
     posts = [(i, i, "".join(r.choices("ab ", k=r.choice([0, 1, 3, 30])))) for i in range(30)] + [(30, 30, None)]
