@@ -115,15 +115,22 @@ def holds(doc: list[str], place: dict[str, list[int]], part: list[str]) -> bool:
     for i in range(len(part) - 2):
         for p in place.get("\x1f".join(part[i : i + 3]), ()):
             diagonals[p - i] += 1
-    for d in diagonals:
+    # Fifteen words of which one in eight differs share at least four runs of three, on one or two neighbouring diagonals.
+    least = 1 if zh else 4
+    for d, runs in diagonals.items():
+        if runs + diagonals.get(d - 1, 0) + diagonals.get(d + 1, 0) < least:
+            continue
         lo, hi = max(0, -d), min(len(part), len(doc) - d)
         if sum(weights[lo:hi]) >= need:
             same = [part[i] == doc[i + d] for i in range(lo, hi)]
-            if _long_enough(same, weights[lo:hi], need):
+            agree = sum(w for s, w in zip(same, weights[lo:hi], strict=True) if s)
+            if agree * DIFFER < need * (DIFFER - 1) and d - 1 not in diagonals and d + 1 not in diagonals:
+                continue
+            if agree * DIFFER >= need * (DIFFER - 1) and _long_enough(same, weights[lo:hi], need):
                 return True
             # A word more or less in the document: go on along a neighbouring diagonal.
             for e in (d - 1, d + 1):
-                if e in diagonals:
+                if e in diagonals and diagonals[e] + runs >= least + 1:
                     both = [part[i] == doc[i + d] or (0 <= i + e < len(doc) and part[i] == doc[i + e]) for i in range(lo, hi)]
                     cut_at = [i for i in range(1, len(both)) if both[i] and both[i - 1] and same[i] != same[i - 1]]
                     if len(cut_at) <= 2 and _long_enough(both, weights[lo:hi], need + 1):
@@ -162,8 +169,8 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     texts = docs.where("text is not null and text <> ''").select("doc_id", "text")
     w = spark.createDataFrame(pd.DataFrame(item_windows, columns=["item_id", "h"]), "item_id long, h long")
-    pairs = texts.mapInPandas(cut_windows, "doc_id long, h long").join(w, "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
-    # Fifteen words of which one in eight differs keep at least two windows, or a run that is shorter by one.
+    pairs = texts.mapInPandas(cut_windows, "doc_id long, h long").join(w, "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).where("n >= 2")
+    # Fifteen words, or 25 Chinese characters, of which one in eight differs keep at least two windows whole.
     per = pairs.groupBy("doc_id").agg(F.collect_list("item_id").alias("items"))
     return texts.join(cut(per), "doc_id").mapInPandas(verify, "doc_id long, item_id long")
 
