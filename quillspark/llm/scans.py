@@ -30,6 +30,8 @@ HYPHENS = "-­‐¬‑"
 _NUM = "[0-9lIO|]{1,4}"
 PAGE_NO = rf"^[-–—·*\[(|~]?\s*(?:(?:P[a@][g9]e|Seite|S\.|p\.|P\.|第)\s*)?{_NUM}(?:\s*(?:/|of|von|0f)\s*{_NUM})?\s*頁?\s*[-–—·*\])|~]?$"
 EDGE_NO = rf"^{_NUM}\s{{2,}}|\s{{2,}}{_NUM}$"
+#: A longer word in small letters: titles have none, lines of running text nearly always.
+LOWER_WORD = r"(?:^|\s)\p{Ll}\p{L}{4}"
 END_MARKS = r"[.!?。！？,，;；:：…”」）)]$"
 
 
@@ -68,10 +70,16 @@ def with_furniture(lines: DataFrame) -> DataFrame:
     marked = F.col("title").rlike(END_MARKS) | F.col("title").rlike(r"[，。]") | F.col("title").rlike(f"[{HYPHENS}]$") | ~F.col("title").rlike(r"^[\p{Lu}\p{Lo}'0-9|!†@]")
     x = x.withColumn("titled", ~F.col("page") & ~marked & (F.length("title") >= 3) & (F.col("edge") | (F.length("title") < 0.8 * F.col("width"))))
     x = x.withColumn("key", F.when(F.col("titled"), skeleton(F.regexp_replace("title", r"\s+", " "))))
-    keys = x.where("titled").groupBy("file_name", "key").agg(F.count_distinct("chunk_index").alias("chunks"), F.sum(F.col("edge").cast("int") + F.col("near_page").cast("int")).alias("proof"))
+    # A file may alternate several headers, so each key is decided by itself: by a number beside it, or as a title that returns in a paged file.
+    proven = F.col("edge") | F.col("near_page")
+    keys = x.where("titled").groupBy("file_name", "key").agg(F.count_distinct("chunk_index").alias("chunks"), F.sum(F.col("edge").cast("int") + F.col("near_page").cast("int")).alias("proof"), F.count("*").alias("n"), F.count_if(proven).alias("n_proven"), F.bool_or(~F.col("title").rlike(LOWER_WORD)).alias("capital"))
     order = F.struct(F.least("proof", F.lit(1)).alias("proven"), "chunks", "proof", "key")
-    best = keys.groupBy("file_name").agg(F.max(order).alias("m")).join(x.where("page_no").select("file_name", F.lit(True).alias("paged")).distinct(), "file_name", "left").where("(m.chunks >= 2 and paged) or m.proven >= 1").select("file_name", F.col("m.key").alias("key"), F.lit(True).alias("is_head"))
-    x = x.join(best, ["file_name", "key"], "left").withColumn("header", F.col("titled") & F.coalesce("is_head", F.lit(False)))
+    best = keys.groupBy("file_name").agg(F.max(order).alias("m"))
+    paged = x.where("page_no").select("file_name", F.lit(True).alias("paged")).distinct()
+    first = (F.col("key") == F.col("m.key")) & (((F.col("chunks") >= 2) & F.col("paged")) | (F.col("proof") >= 1))
+    further = (F.col("capital") & ((F.col("n_proven") >= 1) | ((F.col("chunks") >= 2) & F.col("paged")))) | ((F.col("chunks") >= 2) & (F.col("n_proven") >= 2) & (F.col("n_proven") * 2 >= F.col("n")))
+    heads = keys.join(best, "file_name").join(paged, "file_name", "left").where(first | further).select("file_name", "key", F.lit(True).alias("is_head"))
+    x = x.join(heads, ["file_name", "key"], "left").withColumn("header", F.col("titled") & F.coalesce("is_head", F.lit(False)))
     return x.select("id", "file_name", "chunk_index", "line_no", "line", "s", "page_no", "header")
 
 

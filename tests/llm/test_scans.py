@@ -29,5 +29,18 @@ def test_kinds_of_noise(spark, tmp_path):
     assert "gardcn" not in back[0] and "the window for a very long" in back[0] and "NOTES" not in back[0] and "- 10 -" not in back[0]
 
 
+def test_headers_that_alternate(spark, tmp_path):
+    heads = ["NOTES ON THE GARDEN", "The Final Window"]
+    beside = [(i, "beside.txt", i, "\n".join([*GOOD[:2], heads[i % 2], f"[{60 + i}]", GOOD[2]])) for i in range(6)]
+    edge = [(100 + i, "edge.pdf", i, "\n".join([*GOOD[:2], f"{70 + i}   {heads[0]}" if i % 2 else f"{heads[1]}   {70 + i}", GOOD[2]])) for i in range(6)]
+    # A line of running text that returns in the file and once meets a page number is no header.
+    text = [(200 + i, "text.txt", i, "\n".join([*GOOD[:2], "Please send the parcel to", f"[{60 + i}]" if i == 1 else GOOD[1], GOOD[2], heads[0], f"[{80 + i}]", GOOD[1]])) for i in range(6)]
+    spark.createDataFrame(beside + edge + text, "id long, file_name string, chunk_index int, raw_content string").write.parquet(f"{tmp_path}/writing_style_logs.parquet")
+    got = {(r.id, r.line_no) for r in p3_found(spark, str(tmp_path)).where("kind = 'header'").collect()}
+    assert got == {(k + i, 2) for k in (0, 100) for i in range(6)} | {(200 + i, 5) for i in range(6)}
+    back = {r.id: r.repaired for r in p3_repaired(spark, str(tmp_path)).where("id < 200").collect()}
+    assert len(back) == 12 and not any("GARDEN" in t or "Final Window" in t for t in back.values())
+
+
 def test_empty(spark):
     assert all(x.count() == 0 for x in scan_noise(logs(spark).limit(0)))
