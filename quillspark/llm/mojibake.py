@@ -98,6 +98,9 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-žſƀ-ɏḀ-ỿ"
 _CJK = "一-鿿"
 _SPLIT = r"[ \t\r\n\x0b\x0c　。，、？！：；「」『』（）]+"
 _EDGE = r"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$"
+#: Letters that seldom stand in words but often in garbled ones, and what separates the words of a token.
+_MARKS = "[ÃÂĂ‚„”™š‡ˆ‰ŠŒŽ]|[ÄÅ][‘’“–—…]"
+_BREAKS = r"[\x00-\x26\x28-\x2c\x2e-\x40\x5b-\x60\x7b-\x7f]+"
 _SURE = r"[\u0080-\u0084\u0086-\u009f�]"
 
 
@@ -191,14 +194,18 @@ def garbled_tokens(rows: DataFrame) -> DataFrame:
     """token, original (null where it cannot be regained) of the distinct garbled tokens of `rows`."""
     distinct = cut(rows.groupBy("token").agg(F.count("*").alias("n")))
     letters = F.col("token").rlike(f"^[{_LATIN}0-9\\x00-\\x7f’‘“”–—…]+$")
-    suspects = distinct.where(~letters | F.col("token").rlike("[ÃÂ‚„”™š‡ˆ‰ŠŒŽ]"))
+    # Tokens of Latin letters without a mark of garbling are met as a whole and by their words; only the others are cut into n-grams.
+    marked = ~F.col("token").rlike(f"^[{_LATIN}0-9\\x00-\\x7f’‘“”–—…]+$") | F.col("token").rlike(_MARKS)
+    suspects = distinct.where(marked)
+    plain = distinct.where(~marked).select("token", F.col("n").alias("n_token"), F.explode(F.array_distinct(F.concat(F.array("token"), F.split("token", _BREAKS)))).alias("gram")).where(F.col("gram").rlike(r"[^\x00-\x7f]"))
     words = clean_words(distinct)
     forms = garbled_forms(words)
     grams = suspects.repartition("token").mapInPandas(_grams, "token string, n_token long, gram string")
     # A form that is itself a usual word or gram of the corpus proves nothing unless its word is far more usual.
     usual = words.select(F.col("word").alias("gram"), F.col("n").alias("n_usual"))
     forms = forms.join(usual, "gram", "left").where(F.coalesce("n_usual", F.lit(0)) * 5 < F.col("n_word")).drop("n_usual")
-    hits = grams.join(forms, "gram").where("n_word >= 2 or length(word) > 1")
+    grams = grams.withColumn("plain", F.lit(False)).unionByName(plain.withColumn("plain", F.lit(True)))
+    hits = grams.join(forms, "gram").where("n_word >= 2 or length(word) > 1").where("not plain or n_token * 5 < n_word")
     hits = hits.groupBy("token", "chain").agg(F.countDistinct("gram").alias("grams"), F.max(F.length("gram")).alias("longest"), F.max(F.length("word")).alias("word"), F.max(F.col("gram") == F.col("token")).alias("whole"))
     good = hits.where("whole or word > 1 or longest >= 3 or grams >= 1")
     hits = good.groupBy("token").agg(F.collect_set("chain").alias("chains"), ((F.max("word") > 1) & (F.max("longest") >= 4)).alias("proof"))

@@ -30,5 +30,13 @@ def test_found_and_restored(spark, tmp_path):
     assert back[1000] == "x Brücke y" and back[1002] == "x 外面一直下雨 y" and back[1003] == "x Päckchen y"
 
 
+def test_garbled_forms_of_letters_only(spark):
+    chains = {"SÃO": [("cp850", "cp1252", 1), ("mac-roman", "cp1252", 1)], "João": [("cp850", "cp1252", 1)], "für": [("mac-roman", "cp1252", 1), ("utf-8", "cp1250", 1)], "Straße": [("cp437", "cp1252", 1), ("utf-8", "cp1250", 1)], "café": [("cp1252", "mac-roman", 1), ("cp1252", "cp850", 1)]}
+    bad = {garble(w, c): w for w, cs in chains.items() for c in cs}
+    bad |= {"/".join(["x", garble("SÃO", ("cp850", "cp1252", 1))]): "x/SÃO", garble("Fürstentum", ("utf-8", "cp1250", 1)): "Fürstentum"}
+    rows = [(w,) for w in [*chains, "voilà", "time…", "Château", "l’été", "Ängste", "Crème"] for _ in range(30)] + [("Túnel",), ("Ère",)] + [(b,) for b in bad]
+    assert {r.token: r.original for r in garbled_tokens(spark.createDataFrame(rows, "token string")).collect()} == bad
+
+
 def test_empty(spark):
     assert garbled_tokens(spark.createDataFrame([], "token string")).count() == 0
