@@ -163,8 +163,8 @@ def _grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for t, n in zip(pdf["token"], pdf["n"], strict=True):
             got = {t}
-            # A pair of Chinese characters, read in another two-byte encoding, is three characters.
-            sizes = (3,) if _ALL_CJK(t) else (2, 3, 4, 5, 6) if any(c >= "⺀" for c in t) else (2, 3, 4, 5, 6, 7, 8)
+            # A pair of Chinese characters is three characters where utf-8 was read in a two-byte encoding, two where both have two bytes.
+            sizes = (2, 3) if _ALL_CJK(t) else (2, 3, 4, 5, 6) if any(c >= "⺀" for c in t) else (2, 3, 4, 5, 6, 7, 8)
             for size in sizes:
                 for i in range(len(t) - size + 1):
                     g = t[i : i + size]

@@ -38,5 +38,13 @@ def test_garbled_forms_of_letters_only(spark):
     assert {r.token: r.original for r in garbled_tokens(spark.createDataFrame(rows, "token string")).collect()} == bad
 
 
+def test_long_chinese_token_of_a_two_byte_pair(spark):
+    chain = ("big5", "gbk", 1)
+    bad = garble("這是國家統計機關", chain)
+    assert len(bad) == 8 and "�" not in bad
+    df = spark.createDataFrame([("國家統計機關",)] * 30 + [("外面一直下雨",)] * 30 + [(bad,)], "token string")
+    assert [tuple(r) for r in garbled_tokens(df).collect()] == [(bad, "這是國家統計機關")]
+
+
 def test_empty(spark):
     assert garbled_tokens(spark.createDataFrame([], "token string")).count() == 0
