@@ -62,18 +62,24 @@ def mask_columns(df: DataFrame, identities: Mapping[str, str] | None = None, wor
     return df.select(*[walk(F.col(f"`{f.name}`"), f.dataType, f.name).alias(f.name) for f in df.schema.fields])
 
 
-def with_speakers(df: DataFrame, scope: str, speaker: str, order: list[str], identities: list[str] | None = None, out: str = "speaker_tag") -> DataFrame:
+def with_speakers(df: DataFrame, scope: str, speaker: str | list[str], order: list[str], identities: list[str] | None = None, out: str | list[str] = "speaker_tag") -> DataFrame:
     """`out`: ``[SPEAKER_n]`` by first appearance in the scope, ``[AUTHOR_ME]`` for own identities; null stays null.
 
+    Several columns share one numbering, in a row by the order in which they are given; each has its own `out`.
     First appearances are aggregated per speaker before they are numbered, so a large scope is no large window."""
-    name = pystrip(F.col(speaker))
-    own = name.isin(identities or [])
-    x = df.withColumn("__name", F.when(~own, name))
-    firsts = x.where("__name is not null").groupBy(scope, "__name").agg(F.min(F.struct(*order)).alias("__first"))
-    numbers = firsts.withColumn("__n", F.row_number().over(Window.partitionBy(scope).orderBy("__first")))
-    numbers = numbers.select(F.col(scope).alias("__scope"), F.col("__name").alias("__key"), "__n")
-    x = x.join(numbers, x[scope].eqNullSafe(numbers["__scope"]) & (x["__name"] == numbers["__key"]), "left")
-    return x.withColumn(out, F.when(own, ME).when(F.col("__n").isNotNull(), F.concat(F.lit("[SPEAKER_"), F.col("__n").cast("string"), F.lit("]")))).drop("__name", "__n", "__scope", "__key")
+    speakers, outs = ([speaker], [out]) if isinstance(speaker, str) else (speaker, out)
+    own = lambda c: pystrip(F.col(c)).isin(identities or [])
+    x = df.withColumns({f"__name{i}": F.when(~own(c), pystrip(F.col(c))) for i, c in enumerate(speakers)})
+    met = F.explode(F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"__name{i}").alias("name")) for i in range(len(speakers))]))
+    met = x.select(F.col(scope).alias("__scope"), F.struct(*order).alias("__order"), met.alias("__met")).where("__met.name is not null")
+    firsts = met.groupBy("__scope", F.col("__met.name").alias("__key")).agg(F.min(F.struct("__order", "__met.at")).alias("__first"))
+    numbers = firsts.select("__scope", "__key", F.row_number().over(Window.partitionBy("__scope").orderBy("__first")).alias("__n"))
+    tags = {}
+    for i, (c, o) in enumerate(zip(speakers, outs, strict=True)):
+        n = numbers.select(F.col("__scope").alias(f"__scope{i}"), F.col("__key").alias(f"__key{i}"), F.col("__n").alias(f"__n{i}"))
+        x = x.join(n, F.col(scope).eqNullSafe(F.col(f"__scope{i}")) & (F.col(f"__name{i}") == F.col(f"__key{i}")), "left")
+        tags[o] = F.when(own(c), ME).when(F.col(f"__n{i}").isNotNull(), F.concat(F.lit("[SPEAKER_"), F.col(f"__n{i}").cast("string"), F.lit("]")))
+    return x.withColumns(tags).drop(*[f"__{k}{i}" for k in ("name", "scope", "key", "n") for i in range(len(speakers))])
 
 
 #: Kinds of entities that are replaced; others get the general tag.

@@ -120,8 +120,9 @@ def mask_dictionary(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def masked_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Every text column of the messages masked; ids and times verbatim."""
-    return masking.mask_columns(table(spark, d, "message_data"), ME, WORDS)
+    """Every text column of the messages masked, senders and receivers by one numbering in their thread; ids and times verbatim."""
+    x = masking.with_speakers(table(spark, d, "message_data"), "thread_id", ["sender", "receiver"], ["msg_no"], list(ME), ["sender", "receiver"])
+    return masking.mask_columns(x, ME, WORDS)
 
 
 @query(f"""with c as (select chat_no, thread_id, {strip("sender_name")} as nm from chat_messages),

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from quillspark.operators import chunking, ingest, masking, threads
+from quillspark.plans import reference_queries
 from pyspark.sql import functions as F
 
 
@@ -27,6 +28,15 @@ def test_speakers(spark):
     assert got == {1: "[SPEAKER_1]", 2: "[SPEAKER_2]", 3: "[SPEAKER_1]", 4: "[AUTHOR_ME]", 5: None, 6: "[SPEAKER_3]", 7: "[SPEAKER_1]", 8: "[SPEAKER_1]"}
 
 
+def test_speakers_of_several_columns(spark, tmp_path):
+    me = next(iter(reference_queries.ME))
+    rows = [(1, "t", "b@x.test", "a@x.test"), (2, "t", " a@x.test ", me), (3, "t", "c@x.test", None), (4, None, "", "c@x.test"), (5, "u", me, "a@x.test")]
+    spark.createDataFrame(rows, "msg_no long, thread_id string, sender string, receiver string").withColumn("page_content", F.lit("a@x.test")).write.parquet(f"{tmp_path}/message_data.parquet")
+    got = reference_queries.masked_messages(spark, str(tmp_path))
+    assert got.columns == ["msg_no", "thread_id", "sender", "receiver", "page_content"]
+    assert {r.msg_no: (r.sender, r.receiver) for r in got.collect()} == {1: ("[SPEAKER_1]", "[SPEAKER_2]"), 2: ("[SPEAKER_2]", "[AUTHOR_ME]"), 3: ("[SPEAKER_3]", None), 4: ("[SPEAKER_1]", "[SPEAKER_2]"), 5: ("[AUTHOR_ME]", "[SPEAKER_1]")}
+
+
 def test_masking_order_and_nesting(spark):
     one = lambda t: spark.createDataFrame([(t,)], "v string").select(masking.mask_text(F.col("v"), {"me@x.test": "[AUTHOR_ME]"}, {"a$b": "c\\1"})).first()[0]
     assert one("http://10.0.0.1/x me@x.test y@x.test a$b") == "[REDACTED_URL] [AUTHOR_ME] [REDACTED_EMAIL] c\\1"
