@@ -335,6 +335,12 @@ def rfc2822_to_iso(spark: SparkSession, d: str) -> DataFrame:
     return x.select("msg_no", dates.rfc2822_to_iso(F.col("timestamp")).alias("iso"))
 
 
+@query()
+def rfc2822_to_iso_all(spark: SparkSession, d: str) -> DataFrame:
+    """All rows: zone abbreviations and comments are read too, other shapes give ''."""
+    return table(spark, d, "message_data").select("msg_no", dates.rfc2822_to_iso(F.col("timestamp")).alias("iso"))
+
+
 @query("select doc_id, cast(floor((row_number() over (order by doc_id) - 1) / 100) as bigint) as batch_no from documents")
 def batch_number(spark: SparkSession, d: str) -> DataFrame:
     return ingest.batch_numbers(table(spark, d, "documents").select("doc_id"), 100, "doc_id", F.floor(F.col("doc_id") / 4096))

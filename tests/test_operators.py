@@ -37,6 +37,13 @@ def test_speakers_of_several_columns(spark, tmp_path):
     assert {r.msg_no: (r.sender, r.receiver) for r in got.collect()} == {1: ("[SPEAKER_1]", "[SPEAKER_2]"), 2: ("[SPEAKER_2]", "[AUTHOR_ME]"), 3: ("[SPEAKER_3]", None), 4: ("[SPEAKER_1]", "[SPEAKER_2]"), 5: ("[AUTHOR_ME]", "[SPEAKER_1]")}
 
 
+def test_mail_times_of_the_whole_table(spark, tmp_path):
+    rows = [(1, "Wed, 12 Mar 2014 10:00:00 +0800"), (2, "12 Mar 2014 10:00:00 EST"), (3, "Wed, 12 Mar 2014 10:00:00 +0000 (UTC)"), (4, "2014/3/12 10:00"), (5, None)]
+    spark.createDataFrame(rows, "msg_no long, timestamp string").write.parquet(f"{tmp_path}/message_data.parquet")
+    got = reference_queries.QUERIES["rfc2822_to_iso_all"](spark, str(tmp_path))
+    assert {tuple(r) for r in got.collect()} == {(1, "2014-03-12T02:00:00Z"), (2, "2014-03-12T15:00:00Z"), (3, "2014-03-12T10:00:00Z"), (4, ""), (5, "")}
+
+
 def test_masking_order_and_nesting(spark):
     one = lambda t: spark.createDataFrame([(t,)], "v string").select(masking.mask_text(F.col("v"), {"me@x.test": "[AUTHOR_ME]"}, {"a$b": "c\\1"})).first()[0]
     assert one("http://10.0.0.1/x me@x.test y@x.test a$b") == "[REDACTED_URL] [AUTHOR_ME] [REDACTED_EMAIL] c\\1"
