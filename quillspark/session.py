@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.functions import broadcast
 
 SETTINGS = {
@@ -57,7 +58,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def light(df: DataFrame, most: int) -> DataFrame:
-    """`df` (cut before, so that counting is cheap) marked for broadcast if it has at most `most` rows; beyond, Spark
-    joins it by a shuffle. Both ways give the same rows."""
-    return broadcast(df) if df.count() <= most else df
+#: What may be broadcast: rows of at most so many bytes as JSON, with `ROW_BYTES` more for each row of a hash table.
+LIGHT_BYTES, ROW_BYTES = 8 << 20, 64
+
+
+def light(df: DataFrame, most: int = LIGHT_BYTES) -> DataFrame:
+    """`df` (cut before, so that measuring is cheap) marked for broadcast if its rows take at most `most` bytes; beyond,
+    for a sort-merge join, whatever the planner takes its size for. Both ways give the same rows."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))) + ROW_BYTES), F.lit(0))).first()[0]
+    return broadcast(df) if size <= most else df.hint("merge")
