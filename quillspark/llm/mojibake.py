@@ -100,7 +100,7 @@ _SPLIT = r"[ \t\r\n\x0b\x0c　。，、？！：；「」『』（）]+"
 _EDGE = r"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$"
 #: Letters that seldom stand in words but often in garbled ones, and what separates the words of a token.
 _MARKS = "[ÃÂĂ‚„”™š‡ˆ‰ŠŒŽ]|[ÄÅ][‘’“–—…]"
-_BREAKS = r"[\x00-\x26\x28-\x2c\x2e-\x40\x5b-\x60\x7b-\x7f]+"
+_BREAK = re.compile(r"[\x00-\x26\x28-\x2c\x2e-\x40\x5b-\x60\x7b-\x7f“”„«»…–—]+").split
 _SURE = r"[\u0080-\u0084\u0086-\u009f�]"
 
 
@@ -146,32 +146,32 @@ def _forms(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if g and g != word and "�" not in g and g.strip(" \t\r\n") == g and len(g) >= 2:
                     if len(word) == 1 and (chain[1] in WIDE and len(g) < 3 and not "｡" <= g[0] <= "ﾟ" or chain[0] != "utf-8"):
                         continue
-                    out.append((g, word, n, k))
-        yield pd.DataFrame(out, columns=["gram", "word", "n_word", "chain"])
+                    out.append((g, word, n, k, len(word) > 1 and not "一" <= word[0] <= "鿿" and word[-1] != "\ufe0f"))
+        yield pd.DataFrame(out, columns=["gram", "word", "n_word", "chain", "latin"])
 
 
 def garbled_forms(words: DataFrame) -> DataFrame:
-    return words.mapInPandas(_forms, "gram string, word string, n_word long, chain int")
+    """gram, word, n_word, chain, latin (whether the word is one of Latin letters, not a character or a Chinese pair)."""
+    return words.repartition("word").mapInPandas(_forms, "gram string, word string, n_word long, chain int, latin boolean")
 
 
-_ALL_CJK = re.compile(r"[\x00-\x7f一-鿿]*").fullmatch
+def _grams(starts: dict[str, list[int]]):
+    """The pieces of each distinct token that may be garbled words: the token itself, its words, and its n-grams that
+    begin as a garbled form does (`starts`: the lengths of the forms with a first character)."""
 
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _sliced(it, 300):
+            out = []
+            for t, n, plain in zip(pdf["token"], pdf["n"], pdf["plain"], strict=True):
+                got = {t, *(w for w in _BREAK(t) if not w.isascii())}
+                for i, c in enumerate(t if not plain else ()):
+                    for size in starts.get(c, ()):
+                        if i + size <= len(t):
+                            got.add(t[i : i + size])
+                out += [(t, n, plain, g) for g in got]
+            yield pd.DataFrame(out, columns=["token", "n_token", "plain", "gram"])
 
-def _grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The pieces of each distinct token that may be garbled words: the token itself, and its n-grams."""
-    for pdf in _sliced(it, 300):
-        out = []
-        for t, n in zip(pdf["token"], pdf["n"], strict=True):
-            got = {t}
-            # A pair of Chinese characters is three characters where utf-8 was read in a two-byte encoding, two where both have two bytes.
-            sizes = (2, 3) if _ALL_CJK(t) else (2, 3, 4, 5, 6) if any(c >= "⺀" for c in t) else (2, 3, 4, 5, 6, 7, 8)
-            for size in sizes:
-                for i in range(len(t) - size + 1):
-                    g = t[i : i + size]
-                    if g[0] > "\x7f" or (size >= 4 and any(c > "\x7f" for c in g)):
-                        got.add(g)
-            out += [(t, n, g) for g in got]
-        yield pd.DataFrame(out, columns=["token", "n_token", "gram"])
+    return run
 
 
 def _verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,23 +192,24 @@ def _verify(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def garbled_tokens(rows: DataFrame) -> DataFrame:
     """token, original (null where it cannot be regained) of the distinct garbled tokens of `rows`."""
-    distinct = cut(rows.groupBy("token").agg(F.count("*").alias("n")))
-    letters = F.col("token").rlike(f"^[{_LATIN}0-9\\x00-\\x7f’‘“”–—…]+$")
-    # Tokens of Latin letters without a mark of garbling are met as a whole and by their words; only the others are cut into n-grams.
-    marked = ~F.col("token").rlike(f"^[{_LATIN}0-9\\x00-\\x7f’‘“”–—…]+$") | F.col("token").rlike(_MARKS)
-    suspects = distinct.where(marked)
-    plain = distinct.where(~marked).select("token", F.col("n").alias("n_token"), F.explode(F.array_distinct(F.concat(F.array("token"), F.split("token", _BREAKS)))).alias("gram")).where(F.col("gram").rlike(r"[^\x00-\x7f]"))
+    distinct = rows.groupBy("token").agg(F.count("*").alias("n"))
+    # Tokens of Latin letters without a mark of garbling are met as a whole and by their words; the others by n-grams too.
+    plain = F.col("token").rlike(f"^[{_LATIN}0-9\\x00-\\x7f’‘“”–—…]+$") & ~F.col("token").rlike(_MARKS)
+    distinct = cut(distinct.withColumn("plain", plain))
     words = clean_words(distinct)
-    forms = garbled_forms(words)
-    grams = suspects.repartition("token").mapInPandas(_grams, "token string, n_token long, gram string")
-    # A form that is itself a usual word or gram of the corpus proves nothing unless its word is far more usual.
+    # A form that is itself a usual word or gram of the corpus proves nothing unless its word is far more usual. What
+    # comes out of Python is larger than the planner thinks, hence the hints.
     usual = words.select(F.col("word").alias("gram"), F.col("n").alias("n_usual"))
-    forms = forms.join(usual, "gram", "left").where(F.coalesce("n_usual", F.lit(0)) * 5 < F.col("n_word")).drop("n_usual")
-    grams = grams.withColumn("plain", F.lit(False)).unionByName(plain.withColumn("plain", F.lit(True)))
-    hits = grams.join(forms, "gram").where("n_word >= 2 or length(word) > 1").where("not plain or n_token * 5 < n_word")
-    hits = hits.groupBy("token", "chain").agg(F.countDistinct("gram").alias("grams"), F.max(F.length("gram")).alias("longest"), F.max(F.length("word")).alias("word"), F.max(F.col("gram") == F.col("token")).alias("whole"))
-    good = hits.where("whole or word > 1 or longest >= 3 or grams >= 1")
-    hits = good.groupBy("token").agg(F.collect_set("chain").alias("chains"), ((F.max("word") > 1) & (F.max("longest") >= 4)).alias("proof"))
+    forms = garbled_forms(words).hint("merge").join(usual, "gram", "left").where(F.coalesce("n_usual", F.lit(0)) * 5 < F.col("n_word")).drop("n_usual")
+    forms = cut(forms.where("n_word >= 2 or length(word) > 1"))
+    # At most the characters of Unicode with the lengths of two characters under all chains, however large the corpus.
+    starts: dict[str, list[int]] = {}
+    for r in forms.where("not latin").select(F.substring("gram", 1, 1).alias("c"), F.length("gram").alias("size")).distinct().collect():
+        starts.setdefault(r["c"], []).append(r["size"])
+    grams = distinct.repartition("token").mapInPandas(_grams(starts), "token string, n_token long, plain boolean, gram string")
+    hits = grams.hint("merge").join(forms, "gram").where("not plain or n_token * 5 < n_word")
+    hits = hits.groupBy("token", "chain").agg(F.max(F.length("gram")).alias("longest"), F.max(F.length("word")).alias("word"))
+    hits = hits.groupBy("token").agg(F.collect_set("chain").alias("chains"), ((F.max("word") > 1) & (F.max("longest") >= 4)).alias("proof"))
     strong = hits.mapInPandas(_verify, "token string, original string")
     sure = distinct.where(F.col("token").rlike(_SURE)).select("token")
     return strong.join(sure, "token", "full").select("token", "original")
@@ -217,7 +218,7 @@ def garbled_tokens(rows: DataFrame) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields in which at least one stretch was decoded wrongly."""
     rows = field_tokens(spark, sf_dir)
-    bad = garbled_tokens(rows).select("token")
+    bad = garbled_tokens(rows).select("token").hint("merge")
     return rows.join(bad, "token", "left_semi").select("tbl", "row_id", "field_name").distinct()
 
 
@@ -229,7 +230,7 @@ def restore(text: Column, pairs: Column) -> Column:
 def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tbl, row_id, field_name, restored: the affected fields with the verified originals in place."""
     rows = field_tokens(spark, sf_dir)
-    bad = garbled_tokens(rows)
+    bad = garbled_tokens(rows).hint("merge")
     pairs = F.array_sort(F.collect_set(F.when(F.col("original").isNotNull(), F.struct(-F.length("token").alias("o"), "token", "original"))))
     per = rows.join(bad, "token").groupBy("tbl", "row_id", "field_name").agg(pairs.alias("pairs"))
     texts = None

@@ -38,6 +38,19 @@ def test_garbled_forms_of_letters_only(spark):
     assert {r.token: r.original for r in garbled_tokens(spark.createDataFrame(rows, "token string")).collect()} == bad
 
 
+def test_no_join_with_what_python_made_is_a_broadcast(spark):
+    """What comes out of Python is larger than the planner thinks."""
+    plan = garbled_tokens(spark.createDataFrame([("Brücke",)] * 30, "token string"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_chains_of_each_kind_between_clean_words(spark):
+    clean = ["Für", "Brücke", "Straße", "naïve", "Mädchen"]
+    bad = {"FĂĽr": "Für", "BrĂĽcke": "Brücke", "StraĂźe": "Straße", "naĂŻve": "naïve", "BrŸcke": "Brücke", "Straáe": "Straße", "Mõdchen": "Mädchen", "naÔve": "naïve", "laugh.ðŸ˜€": "laugh.😀"}
+    df = spark.createDataFrame([(w,) for w in [*clean, "laugh.😀", "“Brücke”"] for _ in range(30)] + [(b,) for b in bad], "token string")
+    assert {r.token: r.original for r in garbled_tokens(df).collect()} == bad
+
+
 def test_long_chinese_token_of_a_two_byte_pair(spark):
     chain = ("big5", "gbk", 1)
     bad = garble("這是國家統計機關", chain)
