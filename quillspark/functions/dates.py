@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import calendar
+from datetime import datetime, timedelta
+from email.utils import parsedate_tz
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -22,6 +28,26 @@ def meta_epoch_to_iso(value: Column) -> Column:
 
 
 def rfc2822_to_iso(text: Column) -> Column:
+    """A mail's date to ISO with ``Z``: the usual shape by built-in expressions; seconds left out, two-digit years,
+    obsolete zones and other habits that mail readers know by the standard library, in Arrow batches of those texts only.
+    Without a zone it is UTC; what is no date gives ''."""
+    usual = usual_rfc2822_to_iso(text)
+    return F.when(usual != "", usual).otherwise(F.coalesce(_any_rfc2822(F.when((usual == "") & text.rlike("[0-9]"), text)), F.lit("")))
+
+
+@F.pandas_udf(StringType())
+def _any_rfc2822(s: pd.Series) -> pd.Series:
+    def one(t: str | None) -> str | None:
+        try:
+            parsed = parsedate_tz(t) if t else None
+            return (datetime(1970, 1, 1) + timedelta(seconds=calendar.timegm((*parsed[:6], 0, 1, 0)) - (parsed[9] or 0))).strftime("%Y-%m-%dT%H:%M:%SZ") if parsed else None
+        except (ValueError, OverflowError, TypeError, IndexError):
+            return None
+
+    return s.map(one)
+
+
+def usual_rfc2822_to_iso(text: Column) -> Column:
     """``Wed, 12 Mar 2014 10:00:00 +0800`` to ISO with ``Z``; anything else gives ''."""
     bare = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3},\s*", "")
     bare = F.regexp_replace(bare, r"\s*\([^)]*\)$", "")
@@ -34,8 +60,7 @@ def rfc2822_to_iso(text: Column) -> Column:
 
 def parse_original_time_compat(text: Column) -> Column:
     """The first of three formats without a zone, as UTC; with a zone or otherwise null."""
-    t = F.when(F.length(text) <= 40, text)
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in ("yyyy/M/d H:m:s", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s")])
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in ("yyyy/M/d H:m:s", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s")])
 
 
 def parse_original_time(text: Column) -> Column:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import pystrip
 from .threads import numbered
 
 SIZE, OVERLAP = 800, 100
@@ -58,7 +59,10 @@ def chunks_of(c: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
     def split(s: pd.Series) -> pd.Series:
         return s.map(lambda t: split_text(t, size, overlap) if t else [])
 
-    return split(F.coalesce(c, F.lit("")))
+    t = F.coalesce(c, F.lit(""))
+    bare = pystrip(t)
+    short = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.array(bare))
+    return F.when(F.length(t) <= size, short).otherwise(split(F.when(F.length(t) > size, t)))
 
 
 def chunked(docs: DataFrame, text: str, file: str, order: str, bucket: Column, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pandas as pd
@@ -29,11 +30,15 @@ class Embedder(Protocol):
 
 def standardized(meta: Column, source: str, default: str) -> tuple[Column, Column]:
     """(original_time, data_source) of a metadata JSON text. A key that is there wins even if its value is null."""
-    keys = F.json_object_keys(meta)
-    has = lambda k: F.coalesce(F.array_contains(keys, k), F.lit(False))
-    value = lambda k: F.get_json_object(meta, f"$.{k}")
-    time = F.when(has("original_time"), value("original_time")).otherwise(value("timestamp"))
-    origin = F.when(has("data_source"), value("data_source")).when(has(source), value(source)).otherwise(F.lit(default))
+    return standardized_map(F.from_json(meta, "map<string,string>"), F.lit(default), source)
+
+
+def standardized_map(meta: Column, default: Column, source: str = "source") -> tuple[Column, Column]:
+    """The same of a map."""
+    has = lambda k: F.coalesce(F.map_contains_key(meta, k), F.lit(False))
+    value = lambda k: F.try_element_at(meta, F.lit(k))
+    time = F.when(has("original_time"), value("original_time")).otherwise(F.coalesce(value("timestamp"), value("created_at")))
+    origin = F.when(has("data_source"), value("data_source")).when(has(source), value(source)).otherwise(default)
     return time, origin
 
 
@@ -44,19 +49,26 @@ def merged(thread: Column, message: Column, ids: Column) -> Column:
     return last(last(F.coalesce(thread, none), F.coalesce(message, none)), F.coalesce(ids, none))
 
 
-def judged(docs: DataFrame, analyzer: Analyzer, batch: int = 20, attempts: int = 5, wait: float = 2.0) -> DataFrame:
+def judged(docs: DataFrame, analyzer: Analyzer, batch: int = 1, attempts: int = 5, wait: float = 2.0, calls: int = 20) -> DataFrame:
     """`docs` with the verdict and `error` (null unless the analyzer failed for the row after all attempts).
 
-    Cut the result (it is costly and need not be repeatable) before it is used twice."""
+    Each task has at most `calls` calls of `batch` texts open at once. A call that fails for several texts is made again
+    for each, so an error is that of its own row. Cut the result (it is costly and need not be repeatable) before it is
+    used twice."""
     verdict = "is_noise boolean, generated_tags array<string>, content_category string, information_weight double, error string"
     fields = [f.strip().split(" ")[0] for f in verdict.split(",")]
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def call(texts: list[str]) -> list[dict]:
+            got = with_retry(lambda: [v | {"error": None} for v in analyzer.analyze(texts)], len(texts), attempts, wait)
+            if len(texts) > 1 and all(g["error"] is not None for g in got):
+                return [x for t in texts for x in call([t])]
+            return got
+
         for pdf in it:
-            rows = []
             texts = pdf["page_content"].tolist()
-            for i in range(0, len(texts), batch):
-                rows += with_retry(lambda part=texts[i : i + batch]: [v | {"error": None} for v in analyzer.analyze(part)], len(texts[i : i + batch]), attempts, wait)
+            with ThreadPoolExecutor(calls) as pool:
+                rows = [r for part in pool.map(call, [texts[i : i + batch] for i in range(0, len(texts), batch)]) for r in part]
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame([[r.get(f) for f in fields] for r in rows], columns=fields, dtype=object)], axis=1)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
@@ -136,8 +148,8 @@ def run_metrics(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("total_read"), n(~failed & F.coalesce("is_noise", F.lit(False))).alias("noise_filtered"), n(failed).alias("processing_errors"), n(~failed & ~F.coalesce("is_noise", F.lit(False))).alias("kept"))
 
 
-def batch_numbers(df: DataFrame, size: int, order: str, bucket: Column, out: str = "batch_no") -> DataFrame:
-    """`out`: number of the batch of `size` rows in the order of a column."""
+def batch_numbers(df: DataFrame, size: int, order: str, bucket: Column | list[Column], out: str = "batch_no") -> DataFrame:
+    """`out`: number of the batch of `size` rows in the order of a column; buckets as in `numbered`."""
     from .threads import numbered
 
     x = numbered(df.withColumn("__all", F.lit(0)), ["__all"], bucket, [order], "__pos")

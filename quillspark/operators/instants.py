@@ -8,12 +8,13 @@ overlap on the local clock (an hour that occurs twice) or leave a gap (an hour t
 by zone and year, so that the join is an equi-join with a range test and gives one row for each row.
 
 Defined results: null, empty and blank texts, placeholders, dates without a time of day, impossible dates and
-zero give null. A null or unknown zone gives null for local times only. Repeated rows are resolved each on
+zero give null, and so do runs of fewer than nine digits, which may be dates. A null or unknown zone gives null for local times only. Repeated rows are resolved each on
 their own; columns of the input keep their names, and the names added are those passed by the caller.
 """
 
 from __future__ import annotations
 
+import calendar
 import zoneinfo
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,7 +30,8 @@ ABBREVIATIONS = {
     "JST": 540, "KST": 540, "AWST": 480, "AEST": 600, "AEDT": 660,
 }
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-YEARS = (1970, 2100)
+#: Years for which offsets are laid out; local times of other years give null, with the status ``outside``.
+YEARS = (1900, 2100)
 
 _ZONE = r"(Z|[A-Z]{2,5}(?:[+-]\d{1,2}:?\d{2})?|[+-]\d{2}:?\d{2}|[A-Za-z]+/[A-Za-z_+\-/0-9]+)?"
 _CLOCK = r"(\d{1,2}):(\d{1,2})(?::(\d{1,2})(?:[.,](\d{1,9}))?)?"
@@ -51,7 +53,7 @@ _EPOCH = r"^\d{9,20}(?:\.\d{1,9})?$"
 
 
 def _squeeze(text: Column) -> Column:
-    """Unusual blanks to one space, edges cut; no time is over 100 characters long, and such texts give null."""
+    """Unusual blanks to one space, edges cut."""
     return F.trim(F.regexp_replace(text, r"[\s  -​  　‎‏]+", " "))
 
 
@@ -103,16 +105,15 @@ def zone_intervals(zones: DataFrame, zone_col: str = "zone", years: tuple[int, i
         F.col("old").alias("offset_s"), F.when(F.col("after") > F.col("before"), 0).otherwise(2).alias("matches"),
     )
     pieces = plain.unionByName(jumps).where("local_from < local_to")
-    year = lambda s: F.year(F.timestamp_seconds(F.greatest(F.lit(0), F.least(s, F.lit(4133980799)))))
-    lo, hi = years
-    clamp = lambda y: F.greatest(F.lit(lo), F.least(y, F.lit(hi)))
-    return pieces.withColumn("bucket", F.explode(F.sequence(clamp(year(F.col("local_from"))), clamp(year(F.col("local_to")))))).select("zone", "bucket", "local_from", "local_to", "offset_s", "matches")
+    begin, end = (calendar.timegm((y, 1, 1, 0, 0, 0)) for y in (years[0], years[1] + 1))
+    year = lambda s: F.year(F.timestamp_seconds(F.greatest(F.lit(begin), F.least(s, F.lit(end - 1)))))
+    return pieces.withColumn("bucket", F.explode(F.sequence(year(F.col("local_from")), year(F.col("local_to"))))).select("zone", "bucket", "local_from", "local_to", "offset_s", "matches")
 
 
 def parse_time_text(text: Column, date_order: Column) -> Column:
     """struct<epoch_ms, local_s, millis, region>: epoch_ms of an instant that the text itself names, or the local
     time in seconds with its milliseconds, and the region if the text names one. All null: no time."""
-    t = _squeeze(F.when(F.length(text) <= 100, text))
+    t = _squeeze(text)
     fields = F.lit(None).cast("string")
     for pattern, repl in reversed(FORMATS):
         fields = F.when(t.rlike(pattern), F.regexp_replace(t, pattern, repl)).otherwise(fields)
@@ -158,7 +159,7 @@ def _resolve(t: Column, f: Column, date_order: Column) -> Column:
 
 def _regions(df: DataFrame, text_col: str) -> DataFrame:
     """The zone names that stand in the texts."""
-    named = (F.length(text_col) <= 100) & F.col(text_col).rlike("[A-Za-z]/[A-Za-z]")
+    named = F.col(text_col).rlike("[A-Za-z]/[A-Za-z]")
     return df.where(named).select(F.regexp_extract(text_col, r"([A-Za-z]+/[A-Za-z_+\-/0-9]+)", 1).alias("zone"))
 
 
@@ -166,6 +167,8 @@ def normalise_instants(df: DataFrame, text_col: str, zone_col: str, order_col: s
     """`df` with `out` (milliseconds since 1970 in UTC, or null) and `status`: ``instant`` (the text names the
     offset), ``direct``, ``ambiguous`` or ``nonexistent`` local time, or null.
 
+    A local time before or after the years of `YEARS` gives null with the status ``outside``.
+
     `intervals` is the result of ``zone_intervals``; if absent it is derived from the zones that occur in
     `zone_col` and in the texts. Needs no shuffle of `df`: the intervals are bounded and broadcast.
     """
@@ -175,15 +178,14 @@ def normalise_instants(df: DataFrame, text_col: str, zone_col: str, order_col: s
         intervals = zone_intervals(in_text.unionByName(df.select(F.col(zone_col).alias("zone"))).distinct())
     x = df.withColumn(p, parse_time_text(F.col(text_col), F.col(order_col)))
     x = x.withColumn(key, F.coalesce(F.col(f"{p}.region"), F.col(zone_col)))
-    lo, hi = YEARS
-    bucket = F.greatest(F.lit(lo), F.least(F.year(F.timestamp_seconds(F.col(f"{p}.local_s"))), F.lit(hi)))
+    bucket = F.year(F.timestamp_seconds(F.col(f"{p}.local_s")))
     i = intervals.select(F.struct("*").alias("__iv"))
     on = (x[key] == F.col("__iv.zone")) & (bucket == F.col("__iv.bucket")) & (F.col(f"{p}.local_s") >= F.col("__iv.local_from")) & (F.col(f"{p}.local_s") < F.col("__iv.local_to"))
     x = x.join(F.broadcast(i), on, "left")
     local_ms = (F.col(f"{p}.local_s") - F.col("__iv.offset_s")) * 1000 + F.col(f"{p}.millis")
     x = x.withColumn(out, F.coalesce(F.col(f"{p}.epoch_ms"), local_ms))
     kind = F.when(F.col("__iv.matches") == 1, "direct").when(F.col("__iv.matches") == 2, "ambiguous").when(F.col("__iv.matches") == 0, "nonexistent")
-    return x.withColumn(status, F.when(F.col(f"{p}.epoch_ms").isNotNull(), "instant").otherwise(kind)).drop(p, key, "__iv")
+    return x.withColumn(status, F.when(F.col(f"{p}.epoch_ms").isNotNull(), "instant").otherwise(F.coalesce(kind, F.when(~bucket.between(*YEARS), "outside")))).drop(p, key, "__iv")
 
 
 #: (table, row key, time column) of the tables with time texts.

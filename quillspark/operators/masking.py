@@ -83,7 +83,7 @@ def with_speakers(df: DataFrame, scope: str, speaker: str | list[str], order: li
 
 
 #: Kinds of entities that are replaced; others get the general tag.
-ENTITY_TAGS = {"PERSON": "[REDACTED_PERSON]", "LOCATION": "[REDACTED_LOCATION]", "ORGANIZATION": "[REDACTED_ORGANIZATION]"}
+ENTITY_TAGS = {"PERSON": "[REDACTED_PERSON]", "LOCATION": "[REDACTED_LOCATION]", "ORGANIZATION": "[REDACTED_ORG]"}
 
 
 def mask_entities(c: Column, recognizer: Callable[[str], list[tuple[int, int, str]]] | None = None, tags: Mapping[str, str] | None = None) -> Column:

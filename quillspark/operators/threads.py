@@ -10,21 +10,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def numbered(df: DataFrame, keys: list[str], bucket: Column, order: list[str], out: str = "position") -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], bucket: Column | list[Column], order: list[str], out: str = "position") -> DataFrame:
     """`out`: 0-based position of each row among the rows of its keys, by bucket, then by `order`.
 
-    `bucket` must not fall when `order` rises (a prefix of the first order column, or its quotient). Null keys form
-    a group; ties are broken by the further order columns."""
-    x = df.withColumn("__b", bucket)
-    counts = x.groupBy(*keys, "__b").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("__b")).rowsBetween(Window.unboundedPreceding, -1))
-    shift = counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__b").alias("__c"), F.coalesce(before, F.lit(0)).alias("__shift"))
-    x = x.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, "__b").orderBy(*[F.asc_nulls_first(o) for o in order])))
-    on = x["__b"].eqNullSafe(shift["__c"])
-    for i, k in enumerate(keys):
-        on = on & x[k].eqNullSafe(shift[f"__k{i}"])
-    x = x.join(shift, on).withColumn(out, F.col("__r") - 1 + F.col("__shift"))
-    return x.drop("__b", "__n", "__r", "__shift", "__c", *[f"__k{i}" for i in range(len(keys))])
+    `bucket` must not fall when `order` rises (a prefix of the first order column, or its quotient). Of several buckets
+    each is finer than the one before; no window then holds more than one bucket's finer ones, so a bucket may be hot
+    too. Null keys form a group; ties are broken by the further order columns."""
+    buckets = bucket if isinstance(bucket, list) else [bucket]
+    names = [f"__b{i}" for i in range(len(buckets))]
+    x = df.withColumns(dict(zip(names, buckets, strict=True)))
+    counts = x.groupBy(*keys, *names).agg(F.count("*").alias("__n"))
+    x = x.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*[F.asc_nulls_first(o) for o in order])))
+    position = F.col("__r") - 1
+    for level in range(len(names), 0, -1):
+        by = [*keys, *names[: level - 1]]
+        before = F.sum("__n").over(Window.partitionBy(*by).orderBy(F.asc_nulls_first(names[level - 1])).rowsBetween(Window.unboundedPreceding, -1))
+        on = [*by, names[level - 1]]
+        shift = counts.select(*[F.col(k).alias(f"__k{level}_{i}") for i, k in enumerate(on)], F.coalesce(before, F.lit(0)).alias(f"__shift{level}"))
+        match = F.lit(True)
+        for i, k in enumerate(on):
+            match = match & x[k].eqNullSafe(shift[f"__k{level}_{i}"])
+        x = x.join(shift, match).drop(*[f"__k{level}_{i}" for i in range(len(on))])
+        position = position + F.col(f"__shift{level}")
+        counts = counts.groupBy(*by).agg(F.sum("__n").alias("__n"))
+    return x.withColumn(out, position).drop("__r", *names, *[f"__shift{i + 1}" for i in range(len(names))])
 
 
 def carried_forward(df: DataFrame, keys: list[str], bucket: Column, order: str, value: str, initial: str | None, out: str) -> DataFrame:

@@ -36,7 +36,8 @@ class PipelineConfig:
 
 
 def ingest_files(spark: SparkSession, files: DataFrame, config: PipelineConfig, analyzer: ingest.Analyzer, embedder: ingest.Embedder | None = None) -> DataFrame:
-    """Flatten, mask, judge, split, compare and upsert rag-ready files (path, doc); gives the run's metrics."""
+    """Flatten, mask, judge, split, compare and upsert rag-ready files (path, doc); gives the run's metrics. With
+    `config.resume`, dead letters of earlier runs are tried again, and deleted after the commit."""
     docs = exports.flatten_rag(files).withColumn("page_content", masking.mask_text(F.col("page_content"), config.identities, config.sensitive_words))
     docs = docs.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "doc_pos.*", "page_content", "data_source", dates.parse_original_time(F.col("original_time")).alias("original_time"))
     seen = cut(ingest.judged(docs, analyzer))  # costly and not repeatable
@@ -47,8 +48,10 @@ def ingest_files(spark: SparkSession, files: DataFrame, config: PipelineConfig,
     if embedder is not None:
         chunks = ingest.embedded(chunks, embedder)
     chunks = chunks.select("file_name", "raw_content", "data_source", "content_category", F.col("generated_tags").alias("style_tags"), "is_noise", "information_weight", "content_hash", "chunk_index", *(["embedding"] if embedder is not None else []), "original_time")
-    dead = table.upsert(cut(chunks))
+    letters = sinks.dead_letters(spark, config.dead_letter_dir) if config.resume else []
+    dead = table.upsert(cut(sinks.recovered(spark, chunks, letters)), compared=True)
     sinks.write_dead_letters(dead, config.dead_letter_dir)
+    sinks.delete_letters(spark, letters)
     return ingest.run_metrics(seen)
 
 

@@ -149,7 +149,8 @@ def thread_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("select msg_no, row_number() over (partition by thread_id order by coalesce(timestamp, ''), msg_no) - 1 as position from message_data")
 def thread_order(spark: SparkSession, d: str) -> DataFrame:
     x = table(spark, d, "message_data").select("msg_no", "thread_id", F.coalesce("timestamp", F.lit("")).alias("t"))
-    return threads.numbered(x, ["thread_id"], F.substring("t", 1, 10), ["t", "msg_no"]).select("msg_no", "position")
+    days = [F.substring("t", 1, 10), F.struct("t", F.floor(F.col("msg_no") / 4096))]  # one time text may be that of a third of all rows
+    return threads.numbered(x, ["thread_id"], days, ["t", "msg_no"]).select("msg_no", "position")
 
 
 @query("select chat_no, row_number() over (partition by thread_id order by chat_no desc) - 1 as position from chat_messages")
@@ -243,6 +244,13 @@ def chunk_all(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).select("doc_id", "file_name", "chunk_index", "raw_content", "content_hash")
 
 
+@query(f"select doc_id, {strip('text')} as raw_content, sha256({strip('text')}) as content_hash from documents where length(text) <= 800 and {strip('text')} <> ''")
+def chunk_short(spark: SparkSession, d: str) -> DataFrame:
+    """The chunks of all documents that are no longer than a chunk; of the longer ones, see `chunk_all`."""
+    x = _chunks(spark, d).join(table(spark, d, "documents").where("length(text) <= 800").select("doc_id"), "doc_id", "left_semi")
+    return x.select("doc_id", "raw_content", "content_hash")
+
+
 @query("select id, sha256(raw_content) as sha, coalesce(sha256(raw_content) = content_hash, false) as agrees from writing_style_logs")
 def content_hashes(spark: SparkSession, d: str) -> DataFrame:
     sha = F.sha2("raw_content", 256)
@@ -326,24 +334,28 @@ def parse_original_time_all(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "message_data").select("msg_no", dates.parse_original_time(F.col("timestamp")).alias("original_time"))
 
 
-_rfc = r"regexp_full_match(timestamp, '([A-Z][a-z]{2}, )?\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}')"
+_zones = {"GMT": "+0000", "UTC": "+0000", "UT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500", "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700"}
+_bare = r"regexp_replace(regexp_replace(trim(timestamp), '^[A-Za-z]{3},\s*', ''), '\s*\([^)]*\)$', '')"
+for _z, _o in _zones.items():
+    _bare = rf"regexp_replace({_bare}, '\s{_z}$', ' {_o}')"
+_rfc = r"regexp_full_match(b, '\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}')"
 
 
-@query(f"select msg_no, strftime(try_strptime(regexp_replace(timestamp, '^[A-Z][a-z]{{2}}, ', ''), '%d %b %Y %H:%M:%S %z') at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') as iso from message_data where {_rfc}")
+@query(f"select msg_no, coalesce(case when {_rfc} then strftime(try_strptime(b, '%d %b %Y %H:%M:%S %z') at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') end, '') as iso from (select msg_no, {_bare} as b from message_data)")
 def rfc2822_to_iso(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "message_data").where(F.col("timestamp").rlike(r"^([A-Z][a-z]{2}, )?\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2} [+-]\d{4}$"))
-    return x.select("msg_no", dates.rfc2822_to_iso(F.col("timestamp")).alias("iso"))
+    """All rows: the usual shape of a mail's date, with abbreviations and comments; other texts give ''."""
+    return table(spark, d, "message_data").select("msg_no", dates.usual_rfc2822_to_iso(F.col("timestamp")).alias("iso"))
 
 
 @query()
 def rfc2822_to_iso_all(spark: SparkSession, d: str) -> DataFrame:
-    """All rows: zone abbreviations and comments are read too, other shapes give ''."""
+    """All rows, whatever a mail reader takes for a date."""
     return table(spark, d, "message_data").select("msg_no", dates.rfc2822_to_iso(F.col("timestamp")).alias("iso"))
 
 
 @query("select doc_id, cast(floor((row_number() over (order by doc_id) - 1) / 100) as bigint) as batch_no from documents")
 def batch_number(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.batch_numbers(table(spark, d, "documents").select("doc_id"), 100, "doc_id", F.floor(F.col("doc_id") / 4096))
+    return ingest.batch_numbers(table(spark, d, "documents").select("doc_id"), 100, "doc_id", [F.floor(F.col("doc_id") / (1 << 24)), F.floor(F.col("doc_id") / 4096)])
 
 
 @query("select count(*) as total_read, count(*) filter (where raw_content is not null and is_noise) as noise_filtered, count(*) filter (where raw_content is null) as processing_errors, count(*) filter (where raw_content is not null and not coalesce(is_noise, false)) as kept from writing_style_logs")
@@ -370,6 +382,30 @@ def chat_html(spark: SparkSession, d: str) -> DataFrame:
     return chats.chat_messages(x).select(F.col("file").cast("long").alias("chat_no"), F.col("sender_name").alias("sender"), F.col("timestamp").alias("t"), F.col("page_content").alias("body"))
 
 
+_line_sql = f"""select chat_no, 'line' as source, case when {strip("coalesce(sender_name, '')")} = '' then 'Unknown' else {strip("sender_name")} end as sender, case when regexp_matches({strip("coalesce(timestamp, '')")}, '[0-9]{{4}}/[0-9]{{2}}/[0-9]{{2}}') then {strip("timestamp")} else '' end as t, {strip("coalesce(page_content, '')")} as body
+from (select *, case when {any_of(_low.replace('page_content', "coalesce(page_content, '')"), [w for _, ws in text.MEDIA_TEXTS for w in ws])} then 'm' else 't' end as k from chat_messages)
+where k = 't' and {strip("coalesce(page_content, '')")} <> '' and not contains(lower(page_content), 'html') and not contains(coalesce(sender_name, ''), 'Line 銀行') and {strip("coalesce(sender_name, '')")} <> 'LINE購物'"""
+
+
+@query(_line_sql)
+def chat_html_line(spark: SparkSession, d: str) -> DataFrame:
+    """Each message as a LINE page with a date, a sender, a line that is no message, and a table that is one."""
+    x = table(spark, d, "chat_messages").select(F.concat(F.lit("line_"), F.col("chat_no").cast("string")).alias("file"), chats.line_markup_of(F.col("sender_name"), F.col("timestamp"), F.col("page_content")).alias("markup"))
+    return chats.chat_messages(x).select(F.substring_index("file", "_", -1).cast("long").alias("chat_no"), "source", F.col("sender_name").alias("sender"), F.col("timestamp").alias("t"), F.col("page_content").alias("body"))
+
+
+@query("select post_no, case when source = 'facebook' then 'facebook_messenger' when source = 'instagram' then 'instagram_direct' when source = 'threads' then 'threads' else 'unknown' end as source, case when contains(lower(u), '.mp4') then 'video' else 'image' end as content_type, u as medium from (select post_no, source, 'a/' || post_no || case when content_type = 'video' then '.MP4?x' else '.jpg' end as u from meta_posts)")
+def meta_message_media(spark: SparkSession, d: str) -> DataFrame:
+    """Each post as a message whose medium stands in an attachment, without text, read by the exports' parser."""
+    m = table(spark, d, "meta_posts")
+    uri = F.concat(F.lit("a/"), F.col("post_no").cast("string"), F.when(F.col("content_type") == "video", ".MP4?x").otherwise(".jpg"))
+    part = F.struct(F.array(F.struct(F.struct(uri.alias("uri")).alias("media"), F.struct(F.lit("http://x.test").alias("url")).alias("external_context"))).alias("data"))
+    doc = F.to_json(F.struct(F.array(F.struct(F.lit("Ann").alias("name"))).alias("participants"), F.array(F.struct(F.lit("Ann").alias("sender_name"), F.lit(1).alias("timestamp_ms"), F.array(part).alias("attachments"))).alias("messages")))
+    files = m.select(F.concat(F.coalesce("source", F.lit("x")), F.lit("_data/inbox/"), F.col("post_no").cast("string"), F.lit(".json")).alias("path"), F.parse_json(doc).alias("doc"), "post_no")
+    keys = files.select(text.uuid5(F.col("path")).alias("thread_id"), "post_no")
+    return exports.meta_messages(files).join(keys, "thread_id").select("post_no", "source", "content_type", F.explode("media_attachments").alias("medium"))
+
+
 @query()
 def mime_messages(spark: SparkSession, d: str) -> DataFrame:
     """Each e-mail as the bytes of a message, read by the parser of mailboxes."""

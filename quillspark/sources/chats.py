@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators.threads import carried_forward
 
+#: Tags of layout, and ends of media files.
 LAYOUT = {"nav", "aside", "header", "footer", "script", "style"}
 VOID = {"br", "img", "hr", "input", "meta", "link", "source", "area", "base", "col", "embed", "wbr"}
 VIDEO, VOICE = (".mp4", ".mov", ".avi", ".mkv", ".webm"), (".mp3", ".m4a", ".wav", ".ogg", ".aac")
@@ -114,12 +115,12 @@ def events_of(markup: str, source: str) -> tuple[str, list[tuple]]:
             t = x.text()
             if x.tag == "p" and x.attrs.get("align") == "center" and re.search(r"\d{4}/\d{2}/\d{2}", t):
                 out.append(("state", None, t.strip(), None, None, []))
-            elif x.tag == "p" and x.attrs.get("align") == "left" and "class" not in x.attrs:
+            elif x.tag == "p" and x.attrs.get("align") == "left" and not x.attrs.get("class"):
                 if t and not t.startswith(("Account:", "TO:")):
                     out.append(("state", t, None, None, None, []))
                 elif t.startswith("TO:"):
                     out.append(("to", None, None, t[3:].strip(), None, []))
-            elif x.tag == "p" or x.tag == "table" and x.classed("triangle"):
+            elif x.tag in ("p", "table") and x.classed("triangle"):
                 out.append(("message", None, None, t, *media_of(x)))
         return title, out
     who = "name|sender|author" if source == "whatsapp" else "name|sender|author|user"
@@ -174,7 +175,19 @@ def read_chats(spark: SparkSession, folder: str) -> DataFrame:
     return chat_messages(x.select(F.col("path").alias("file"), F.decode("content", "UTF-8").alias("markup")))
 
 
+def _escaped(c: Column) -> Column:
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(F.coalesce(c, F.lit("")), F.lit(a), F.lit(b))
+    return c
+
+
+def line_markup_of(sender: Column, time: Column, content: Column) -> Column:
+    """One message as a LINE page: a date and a sender, each if there is one, the message, and a line that is none."""
+    p = lambda c, attrs: F.when(text.pystrip(F.coalesce(c, F.lit(""))) != "", F.concat(F.lit(f"<p {attrs}>"), _escaped(c), F.lit("</p>"))).otherwise("")
+    return F.concat(F.lit('<html><title>x</title><div class="content">'), p(time, 'align="center"'), p(sender, 'align="left"'), F.lit('<p class="note">no message</p><table class="triangle-isosceles left"><tr><td>'), _escaped(content), F.lit("</td></tr></table></div></html>"))
+
+
 def markup_of(sender: Column, time: Column, content: Column) -> Column:
     """One message as such a page's block, for tests and for queries over given tables."""
-    esc = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    esc = _escaped
     return F.concat(F.lit('<html><title>WhatsApp Messages</title><div class="message"><span class="sender">'), esc(sender), F.lit('</span><span class="time">'), esc(time), F.lit('</span><div class="text">'), esc(content), F.lit("</div></div></html>"))

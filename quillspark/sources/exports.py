@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators.ingest import merged
+from ..operators.ingest import merged, standardized_map
 from ..operators.threads import match_comments, orphan_posts
 
 _URI = "array<struct<uri:string>>"
-_POST = f"struct<timestamp:string,creation_timestamp:string,title:string,data:array<struct<post:string>>,photos:{_URI},videos:{_URI},audio_files:{_URI},share:struct<link:string>,attachments:array<struct<data:array<struct<media:struct<uri:string>,external_context:struct<url:string>,audio_file:struct<uri:string>>>>>>"
-_MESSAGE = f"struct<sender_name:string,timestamp_ms:string,content:string,share:struct<link:string>,photos:{_URI},videos:{_URI},audio_files:{_URI}>"
+_NESTED = "array<struct<data:array<struct<media:struct<uri:string>,external_context:struct<url:string>,audio_file:struct<uri:string>>>>>"
+_POST = f"struct<timestamp:string,creation_timestamp:string,title:string,data:array<struct<post:string>>,photos:{_URI},videos:{_URI},audio_files:{_URI},share:struct<link:string>,attachments:{_NESTED}>"
+_MESSAGE = f"struct<sender_name:string,timestamp_ms:string,content:string,share:struct<link:string>,photos:{_URI},videos:{_URI},audio_files:{_URI},attachments:{_NESTED}>"
 
 
 def read_json_files(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
@@ -40,9 +41,12 @@ def media_of(x: str = "x") -> tuple[Column, Column]:
 
 
 def _nested() -> tuple[Column, Column]:
-    d = F.flatten(F.transform(F.coalesce(F.col("x.attachments"), F.array().cast("array<struct<data:array<struct<media:struct<uri:string>,external_context:struct<url:string>,audio_file:struct<uri:string>>>>>")), lambda a: F.coalesce(a["data"], F.array().cast("array<struct<media:struct<uri:string>,external_context:struct<url:string>,audio_file:struct<uri:string>>>"))))
-    kind = lambda e: F.when(e["audio_file"].isNotNull(), "voice").when(e["external_context"].isNotNull(), "link").when(e["media"].isNotNull(), F.when(F.lower(e["media"]["uri"]).endswith(".mp4"), "video").otherwise("image"))
-    uri = lambda e: F.coalesce(e["audio_file"]["uri"], e["external_context"]["url"], e["media"]["uri"])
+    """Of an attachment's parts a medium counts before a link, a link before a voice; the last attachment's type stays."""
+    part = _NESTED.removeprefix("array<struct<data:").removesuffix(">>")
+    d = F.flatten(F.transform(F.coalesce(F.col("x.attachments"), F.array().cast(_NESTED)), lambda a: F.coalesce(a["data"], F.array().cast(part))))
+    video = lambda u: F.contains(F.lower(F.coalesce(u, F.lit(""))), F.lit(".mp4"))
+    kind = lambda e: F.when(e["media"].isNotNull(), F.when(video(e["media"]["uri"]), "video").otherwise("image")).when(e["external_context"].isNotNull(), "link").when(e["audio_file"].isNotNull(), "voice")
+    uri = lambda e: F.when(e["media"].isNotNull(), e["media"]["uri"]).when(e["external_context"].isNotNull(), e["external_context"]["url"]).otherwise(e["audio_file"]["uri"])
     return F.try_element_at(F.filter(F.transform(d, kind), lambda k: k.isNotNull()), F.lit(-1)), F.filter(F.transform(d, uri), lambda u: u.isNotNull() & (u != ""))
 
 
@@ -62,12 +66,12 @@ def meta_posts(files: DataFrame) -> DataFrame:
 
 def meta_comments(files: DataFrame) -> DataFrame:
     """comment_id, page_content, author, timestamp, target_title of comment files; empty comments are dropped."""
-    x = files.select("path", F.explode(F.from_json(_list("doc", "comments_v2", "comments"), "array<struct<timestamp:string,title:string,data:array<struct<comment:string>>>>")).alias("x")).withColumn("pos", F.monotonically_increasing_id())
+    x = files.select("path", F.posexplode(F.from_json(_list("doc", "comments_v2", "comments"), "array<struct<timestamp:string,title:string,data:array<struct<comment:string>>>>")).alias("pos", "x"))
     last = F.try_element_at(F.filter(F.transform(F.coalesce("x.data", F.array().cast("array<struct<comment:string>>")), lambda d: d["comment"]), lambda c: c.isNotNull()), F.lit(-1))
     x = x.withColumn("last", F.when(F.size("x.data") > 0, last))
     inner = F.get_json_object("last", "$.comment")
     body = F.coalesce(inner, F.when(~F.col("last").startswith("{"), F.col("last")), F.col("x.title"), F.lit(""))
-    x = x.select(text.uuid5(F.concat_ws("#", "path", F.col("x.timestamp"), F.to_json("x"))).alias("comment_id"), text.fix_latin1(body).alias("page_content"), text.fix_latin1(F.coalesce(F.get_json_object("last", "$.author"), F.lit("unknown"))).alias("author"), dates.meta_epoch_to_iso(F.col("x.timestamp")).alias("timestamp"), text.fix_latin1(F.col("x.title")).alias("target_title"))
+    x = x.select(text.uuid5(F.concat_ws("#", "path", F.lit("comment"), F.col("pos").cast("string"))).alias("comment_id"), text.fix_latin1(body).alias("page_content"), text.fix_latin1(F.coalesce(F.get_json_object("last", "$.author"), F.lit("unknown"))).alias("author"), dates.meta_epoch_to_iso(F.col("x.timestamp")).alias("timestamp"), text.fix_latin1(F.col("x.title")).alias("target_title"))
     return x.where(text.pystrip(F.col("page_content")) != "")
 
 
@@ -76,7 +80,8 @@ def meta_messages(files: DataFrame) -> DataFrame:
     people = F.transform(F.from_json(F.to_json(F.try_variant_get("doc", "$.participants", "array<variant>")), "array<struct<name:string>>"), lambda p: text.fix_latin1(p["name"]))
     x = files.select("path", people.alias("participants"), F.posexplode(F.reverse(F.from_json(F.to_json(F.try_variant_get("doc", "$.messages", "array<variant>")), f"array<{_MESSAGE}>"))).alias("pos", "x"))
     kind, media = media_of()
-    x = x.select("path", "participants", "pos", text.fix_latin1(F.col("x.sender_name")).alias("sender_name"), dates.meta_epoch_to_iso(F.col("x.timestamp_ms")).alias("timestamp"), text.fix_latin1(F.col("x.content")).alias("page_content"), F.when(F.col("x.share").isNotNull(), "share_link").otherwise(F.coalesce(kind, F.lit("text"))).alias("content_type"), media.alias("media_attachments"))
+    nested_kind, nested = _nested()
+    x = x.select("path", "participants", "pos", text.fix_latin1(F.col("x.sender_name")).alias("sender_name"), dates.meta_epoch_to_iso(F.col("x.timestamp_ms")).alias("timestamp"), text.fix_latin1(F.col("x.content")).alias("page_content"), F.when(F.col("x.share").isNotNull(), "share_link").otherwise(F.coalesce(kind, nested_kind, F.lit("text"))).alias("content_type"), F.when(kind.isNotNull(), media).otherwise(nested).alias("media_attachments"))
     x = x.where((text.pystrip(F.col("page_content")) != "") | (F.size("media_attachments") > 0))
     source = text.meta_source(F.col("path"))
     source = F.when(source == "facebook", "facebook_messenger").when(source == "instagram", "instagram_direct").otherwise(source)
@@ -112,9 +117,7 @@ def flatten_rag(files: DataFrame) -> DataFrame:
 
     def add(x: DataFrame, shape: str, default: Column) -> None:
         nonlocal out
-        has = lambda k: F.map_contains_key("meta", k)
-        time = F.when(has("original_time"), F.col("meta")["original_time"]).otherwise(F.coalesce(F.try_element_at("meta", F.lit("timestamp")), F.try_element_at("meta", F.lit("created_at"))))
-        origin = F.when(has("data_source"), F.try_element_at("meta", F.lit("data_source"))).when(has("source"), F.try_element_at("meta", F.lit("source"))).otherwise(default)
+        time, origin = standardized_map(F.col("meta"), default)
         x = x.where(F.col("page_content") != "").select("path", F.struct(F.lit(shape).alias("shape"), "i", "j").alias("doc_pos"), "page_content", origin.alias("data_source"), time.alias("original_time"), "meta")
         out = x if out is None else out.unionByName(x)
 

@@ -46,21 +46,43 @@ class ChunkTable:
         v = self.versions()
         return self.spark.read.parquet(f"{self.folder}/v{v[-1]}") if v else self.spark.createDataFrame([], TABLE)
 
-    def upsert(self, chunks: DataFrame) -> DataFrame:
-        """Write the next version with changed and new chunks; a run that fails leaves the current one. Gives the dead letters."""
+    def upsert(self, chunks: DataFrame, compared: bool = False) -> DataFrame:
+        """Write the next version with changed and new chunks; a run that fails leaves the current one. Gives the dead
+        letters. `compared`: unchanged chunks are already left out."""
         now = self.read()
         good, dead = validated(chunks)
-        new = changed(good, now).withColumn("created_at", F.current_timestamp())
+        new = (good if compared else changed(good, now)).withColumn("created_at", F.current_timestamp())
         v = self.versions()
         upserted(now, new.select(*[c for c in now.columns if c in new.columns], *[F.lit(None).cast(now.schema[c].dataType).alias(c) for c in now.columns if c not in new.columns])).write.mode("overwrite").parquet(f"{self.folder}/v{(v[-1] if v else 0) + 1}")
         return dead
 
 
 def write_dead_letters(dead: DataFrame, folder: str) -> None:
-    dead.write.mode("append").parquet(folder)
+    """In a folder of this run, so that they can be deleted once a later run has taken them in."""
+    dead.write.parquet(f"{folder.rstrip('/')}/letters_{uuid.uuid4().hex}")
 
 
-def recovered(spark: SparkSession, chunks: DataFrame, folder: str) -> DataFrame:
+def _folder(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def dead_letters(spark: SparkSession, folder: str) -> list[str]:
+    """The folders of letters that earlier runs left."""
+    fs, path = _folder(spark, folder)
+    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().startswith("letters_")) if fs.exists(path) else []
+
+
+def delete_letters(spark: SparkSession, letters: list[str]) -> None:
+    """After the commit of a run that took them in: those that failed again are in that run's own folder."""
+    for folder in letters:
+        fs, path = _folder(spark, folder)
+        fs.delete(path, True)
+
+
+def recovered(spark: SparkSession, chunks: DataFrame, letters: list[str]) -> DataFrame:
     """`chunks` and the dead letters of earlier runs whose key they don't hold; delete the letters only after the commit."""
-    old = spark.read.parquet(folder)
+    if not letters:
+        return chunks
+    old = spark.read.parquet(*letters)
     return chunks.unionByName(old.select(*[c for c in chunks.columns if c in old.columns]).join(chunks.select(*KEY), KEY, "left_anti"), allowMissingColumns=True)

@@ -74,3 +74,10 @@ def test_intervals_do_not_overlap(spark):
     for z in ZONES:
         own = sorted((r.local_from, r.local_to) for r in iv if r.zone == z)
         assert all(a[1] == b[0] for a, b in zip(own, own[1:], strict=False)), z
+
+
+def test_padded_texts_and_years_outside(spark):
+    rows = [("2020-01-02" + " " * 150 + "03:04:05", "Europe/Berlin"), ("1923-05-01 12:00:00", "Europe/Berlin"), ("1850-05-01 12:00:00", "Europe/Berlin"), ("2150-05-01 12:00:00", "Europe/Berlin"), ("1850-05-01T12:00:00Z", None), ("x" * 5000, "Europe/Berlin")]
+    out = normalise_instants(spark.createDataFrame(rows, "t string, zone string").withColumn("o", F.lit("dmy")), "t", "zone", "o").collect()
+    utc = lambda *a: int(dt.datetime(*a, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    assert [(r.epoch_ms, r.time_status) for r in out] == [(utc(2020, 1, 2, 2, 4, 5), "direct"), (utc(1923, 5, 1, 11, 0, 0), "direct"), (None, "outside"), (None, "outside"), (utc(1850, 5, 1, 12, 0, 0), "instant"), (None, None)]

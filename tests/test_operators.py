@@ -137,3 +137,34 @@ def test_retry_and_errors(spark):
         return [{}]
 
     assert ingest.with_retry(call, 1, 5, 0, 0) == [{}] and len(calls) == 3
+
+
+def test_an_error_is_that_of_its_own_row(spark):
+    class One:
+        def analyze(self, texts):
+            if "bad" in texts:
+                raise ValueError("no")
+            return [{"is_noise": False, "generated_tags": [], "content_category": "x", "information_weight": 0.5} for _ in texts]
+
+    df = spark.createDataFrame([(i, "bad" if i == 7 else f"t{i}") for i in range(45)], "i long, page_content string").coalesce(1)
+    for batch in (1, 20):
+        out = {r.i: r.error for r in ingest.judged(df, One(), batch=batch, wait=0).collect()}
+        assert len(out) == 45 and [i for i, e in out.items() if e] == [7]
+
+
+def test_numbers_over_two_buckets(spark):
+    from quillspark.operators.threads import numbered
+
+    df = spark.createDataFrame([(k, t, n) for k in (None, "a") for n, t in enumerate(["", "", "2020", "2020-01-01", "2020-01-01 1", " x", "", "zz"] * 20)], "k string, t string, n long")
+    out = numbered(df, ["k"], [F.substring("t", 1, 4), F.struct("t", F.floor(F.col("n") / 8))], ["t", "n"], "pos").collect()
+    for k in (None, "a"):
+        own = sorted((r for r in out if r.k == k), key=lambda r: (r.t, r.n))
+        assert [r.pos for r in own] == list(range(160))
+
+
+def test_dates_that_mail_readers_know(spark):
+    from quillspark.functions import dates
+
+    rows = [("Wed, 12 Mar 2014 10:00 +0800", "2014-03-12T02:00:00Z"), ("12 Mar 14 10:00:00 EST", "2014-03-12T15:00:00Z"), ("Wed, 12 Mar 2014 10:00:00 +0800 (CST)", "2014-03-12T02:00:00Z"), ("12 Mar 2014 10:00:00", "2014-03-12T10:00:00Z"), ("soon", ""), ("", ""), (None, ""), ("12 Mar 2014 99:99:99 +0800", None), ("9" * 5000, "")]
+    out = spark.createDataFrame([(t,) for t, _ in rows], "t string").select(dates.rfc2822_to_iso(F.col("t")).alias("x")).collect()
+    assert all(w is None or r.x == w for r, (_, w) in zip(out, rows, strict=True)), out

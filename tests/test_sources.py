@@ -7,6 +7,7 @@ from email.message import EmailMessage
 from quillspark.plans.pipeline import PipelineConfig, run
 from quillspark.sources import chats, exports, mail, office, sinks
 from quillspark.streaming.files import ingest_new_files
+from pyspark.sql import functions as F
 
 
 def zipped(**files):
@@ -56,7 +57,7 @@ def test_mbox(spark, tmp_path):
 
 
 def test_chats(spark, tmp_path):
-    line = '<html><title>x</title><nav>menu</nav><div class="content"><p align="left">TO: Family</p><p>early</p><p align="center">2024/01/02</p><p align="left">Ann</p><p>hi <b>there</b></p><p align="left">LINE購物</p><p>buy</p><p align="left">Bob</p><table class="triangle"><tr><td>yes</td></tr></table><p>[貼圖]</p><p class="x"><img src="a.png"></p></div></html>'
+    line = '<html><title>x</title><nav>menu</nav><div class="content"><p align="left">TO: Family</p><p class="triangle-left">early</p><p>no message</p><p align="left" class="x">none</p><p align="center">2024/01/02</p><p align="left">Ann</p><p class="triangle">hi <b>there</b></p><p align="left">LINE購物</p><p class="triangle">buy</p><p align="left">Bob</p><table class="triangle"><tr><td>yes</td></tr></table><p class="triangle">[貼圖]</p><p class="triangle"><img src="a.png"></p></div></html>'
     (tmp_path / "line_1.HTML").write_text(line)
     (tmp_path / "whatsapp.html").write_text('<title>Trip</title><div class="msg"><span class="sender">Ann</span> 10:00 <p class="text">see <a href="http://x.test">here</a></p></div><div class="message">Unknown hello</div>')
     got = sorted(((r.source, r.thread_id, r.sender_name, r.timestamp, r.page_content, r.content_type) for r in chats.read_chats(spark, str(tmp_path)).collect()), key=str)
@@ -133,3 +134,34 @@ def test_json_batches(spark, tmp_path):
     at = sinks.write_json_batches(spark.range(250).coalesce(1), str(tmp_path))
     parts = [p for p in __import__("pathlib").Path(at).glob("*.json")]
     assert len(parts) == 3 and sum(len(p.read_text().splitlines()) for p in parts) == 250
+
+
+def test_dead_letters_come_back_and_are_deleted(spark, tmp_path):
+    bad = "f" * 256 + ".json"
+    letters = spark.createDataFrame([("old.json", "kept text", "h0", 0, "too long before"), (bad, "again too long", "h1", 0, "x")], "file_name string, raw_content string, content_hash string, chunk_index int, error string").withColumn("information_weight", F.lit(0.5))
+    sinks.write_dead_letters(letters, str(tmp_path / "dead"))
+    write(tmp_path, "a.json", "one")
+    run(spark, PipelineConfig(str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "dead"), resume=False), judge())
+    table = sinks.ChunkTable(spark, str(tmp_path / "table"))
+    assert table.read().where("file_name = 'old.json'").count() == 0
+    before = sinks.dead_letters(spark, str(tmp_path / "dead"))
+    run(spark, config(tmp_path), judge())
+    assert [r.raw_content for r in table.read().where("file_name = 'old.json'").collect()] == ["kept text"]
+    after = sinks.dead_letters(spark, str(tmp_path / "dead"))
+    assert not set(before) & set(after)
+    assert [r.file_name for r in spark.read.parquet(*after).collect()] == [bad]
+
+
+def test_repeated_comments_have_ids_of_their_own(spark):
+    doc = json.dumps({"comments_v2": [{"timestamp": 1, "title": "same", "data": [{"comment": {"comment": "same", "author": "Ann"}}]}] * 3})
+    files = spark.createDataFrame([("facebook_data/comments.json", doc)], "path string, text string").select("path", F.parse_json("text").alias("doc"))
+    out = exports.meta_comments(files).collect()
+    assert len(out) == 3 and len({r.comment_id for r in out}) == 3
+
+
+def test_attachments_of_messages(spark):
+    part = {"media": {"uri": "a.MP4?x"}, "external_context": {"url": "http://x"}}
+    doc = json.dumps({"participants": [{"name": "Ann"}], "messages": [{"sender_name": "Ann", "timestamp_ms": 1, "attachments": [{"data": [part]}, {"data": [{"audio_file": {"uri": "v.ogg"}}]}]}, {"sender_name": "Ann", "timestamp_ms": 2, "attachments": [{"data": [part]}]}]})
+    files = spark.createDataFrame([("instagram_data/inbox/m.json", doc)], "path string, text string").select("path", F.parse_json("text").alias("doc"))
+    out = sorted(exports.meta_messages(files).collect(), key=lambda r: r.pos)
+    assert [(r.content_type, r.media_attachments) for r in out] == [("video", ["a.MP4?x"]), ("voice", ["a.MP4?x", "v.ogg"])]
