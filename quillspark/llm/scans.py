@@ -24,8 +24,6 @@ from ..session import cut, light, table
 #: Strokes that a reader of pages takes for each other, in order of application.
 STROKES = [("'i'", "t"), ("vv", "w"), ("m", "lll"), ("w", "vv"), ("n", "ll"), ("u", "ll"), ("h", "ll"), ("b", "ll"), ("d", "el")]
 STROKE_FROM, STROKE_TO = "i1!|rj059@†c$", "llllllosgates"
-#: Misread forms up to so many are broadcast; more are joined by a shuffle.
-LIGHT_ROWS = 200_000
 HYPHENS = "-­‐¬‑"
 _NUM = "[0-9lIO|]{1,4}"
 PAGE_NO = rf"^[-–—·*\[(|~]?\s*(?:(?:P[a@][g9]e|Seite|S\.|p\.|P\.|第)\s*)?{_NUM}(?:\s*(?:/|of|von|0f)\s*{_NUM})?\s*頁?\s*[-–—·*\])|~]?$"
@@ -84,22 +82,24 @@ def with_furniture(lines: DataFrame) -> DataFrame:
 
 
 #: A word with what a reader may have put into it; marks at its edges are cut.
-_WORD = r"[\p{L}0-9@!†|$'’]+"
-_TRIM = r"^['’$|]+|[!|'’$]+$"
+_WORD = r"[\p{L}0-9@!†](?:[\p{L}0-9@!†|$'’]*[\p{L}0-9@†])?"
+#: What may not stand before and after a word that is put right.
+_BEFORE, _AFTER = r"(?<![\p{L}0-9@!†])(?<![\p{L}0-9]['’|$])", r"(?!['’|$!]*[\p{L}0-9@†])"
 
 
 def words_of(s: Column) -> Column:
-    return F.transform(F.regexp_extract_all(s, F.lit(f"({_WORD})"), F.lit(0)), lambda w: F.regexp_replace(w, _TRIM, ""))
+    return F.regexp_extract_all(s, F.lit(f"({_WORD})"), F.lit(0))
 
 
 def with_hyphens(body: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """id, line_no of the body lines that end in the first part of a broken word, with the whole word."""
+    """id, line_no of the body lines that end in the first part of a broken word, with the whole word, its rest, and
+    whether that stands in the file's next chunk."""
     per = Window.partitionBy("id").orderBy("line_no")
     x = body.withColumn("next_s", F.lead("s").over(per))
     firsts = body.groupBy("file_name", "chunk_index").agg(F.min_by("s", F.struct("id", "line_no")).alias("first_s"))
     firsts = firsts.select("file_name", (F.col("chunk_index") - 1).alias("chunk_index"), "first_s")
     x = x.where(F.col("s").rlike(rf"\p{{L}}[{HYPHENS}]$")).join(firsts, ["file_name", "chunk_index"], "left").withColumn("after", F.coalesce("next_s", "first_s"))
-    x = x.select("id", "line_no", F.regexp_extract("s", rf"([\p{{L}}0-9@!†|’']+)[{HYPHENS}]$", 1).alias("a"), F.regexp_extract("after", r"^([\p{L}0-9@!†|’']+)", 1).alias("b"), F.regexp_extract("s", rf"([\p{{L}}]+-)[\p{{L}}0-9@!†|]+[{HYPHENS}]$", 1).alias("c"), F.regexp_extract("s", rf"([{HYPHENS}])$", 1).alias("mark"))
+    x = x.select("id", "line_no", "file_name", "chunk_index", F.col("next_s").isNull().alias("crosses"), F.regexp_extract("s", rf"([\p{{L}}0-9@!†|’']+)[{HYPHENS}]$", 1).alias("a"), F.regexp_extract("after", r"^([\p{L}0-9@!†|’']+)", 1).alias("b"), F.regexp_extract("s", rf"([\p{{L}}]+-)[\p{{L}}0-9@!†|]+[{HYPHENS}]$", 1).alias("c"), F.regexp_extract("s", rf"([{HYPHENS}])$", 1).alias("mark"))
     x = x.where("a <> '' and b <> ''").withColumn("whole", F.lower(F.concat("a", "b"))).withColumn("own", F.lower(F.concat("a", F.lit("-"), "b")))
     v = vocabulary.select(F.col("word"), "n")
     x = x.withColumn("whole_key", skeleton(F.col("whole"))).withColumn("own_key", skeleton(F.col("own")))
@@ -107,7 +107,7 @@ def with_hyphens(body: DataFrame, vocabulary: DataFrame) -> DataFrame:
     x = x.join(k.select(F.col("k").alias("whole_key"), F.col("n").alias("n_whole")), "whole_key", "left").join(k.select(F.col("k").alias("own_key"), F.col("n").alias("n_own")), "own_key", "left")
     n_whole, n_own = F.coalesce("n_whole", F.lit(0)), F.coalesce("n_own", F.lit(0))
     lower = F.col("b").rlike(r"^\p{Ll}|^[0-9@!†|]\p{Ll}")
-    return x.where((n_whole > n_own) | ((n_whole == 0) & (n_own == 0) & lower & (F.col("mark") != "-"))).select("id", "line_no", "whole")
+    return x.where((n_whole > n_own) | ((n_whole == 0) & (n_own == 0) & lower & (F.col("mark") != "-"))).select("id", "line_no", "whole", F.col("b").alias("rest"), "crosses", "file_name", "chunk_index")
 
 
 def misread_words(body: DataFrame, broken: DataFrame) -> DataFrame:
@@ -115,11 +115,12 @@ def misread_words(body: DataFrame, broken: DataFrame) -> DataFrame:
     x = body.join(broken.select("id", "line_no", F.lit(True).alias("breaks")), ["id", "line_no"], "left")
     per = Window.partitionBy("id").orderBy("line_no")
     x = x.withColumn("goes_on", F.coalesce(F.lag("breaks").over(per), F.lit(False))).withColumn("breaks", F.coalesce("breaks", F.lit(False)))
-    addresses = r"\S+@\S+\.\S+|\S+ ?[\[(](?:at|AT)[\])] ?\S+"
-    x = x.withColumn("w", words_of(F.regexp_replace("s", addresses, " , ")))
+    addresses, cue = r"\S+@\S+\.\S+|\S+ ?[\[(](?:at|AT)[\])] ?\S+", r"@|[\[(](?:at|AT)[\])]"
+    x = x.withColumn("w", words_of(F.when(F.col("s").rlike(cue), F.regexp_replace("s", addresses, " , ")).otherwise(F.col("s"))))
     # Parts of broken words are no words.
     a = F.when(F.col("goes_on"), 2).otherwise(1)
     x = x.withColumn("w", F.slice("w", a, F.greatest(F.lit(0), F.size("w") - F.col("breaks").cast("int") - a + 1)))
+    x = cut(x.where("size(w) > 0").select("id", "line_no", "w"))
     w = x.select("id", "line_no", F.posexplode("w").alias("i", "word"), F.col("w")).where(F.col("word").rlike(r"\p{L}"))
     w = w.select("id", "line_no", F.col("word").alias("raw"), F.lower("word").alias("word"), F.lower(F.get("w", F.col("i") - 1)).alias("p"), F.lower(F.get("w", F.col("i") + 1)).alias("q"))
     w = w.where(~F.col("word").rlike("[一-鿿]"))
@@ -130,7 +131,7 @@ def misread_words(body: DataFrame, broken: DataFrame) -> DataFrame:
     forms = counts.withColumn("key", skeleton(F.col("word")))
     top = forms.where(plain).groupBy("key").agg(F.max(F.struct("n", "word")).alias("top")).select("key", F.col("top.word").alias("right"), F.col("top.n").alias("n_right"))
     rare = forms.where(F.length("word") >= 2).join(top, "key").where((F.col("word") != F.col("right")) & (F.col("n_right") >= 5) & (F.col("n") * 8 <= F.col("n_right"))).select("word", "n", "right", "n_right")
-    rare = light(cut(rare), LIGHT_ROWS)
+    rare = light(cut(rare))
     usual = pairs.where("p is not null").withColumnRenamed("n", "n_pw")
     after = pairs.where("p is not null").select(F.col("p").alias("word"), F.col("word").alias("q"), F.col("n").alias("n_wq"))
     x = w.join(rare, "word").join(usual.select("p", F.col("word").alias("right"), "n_pw"), ["p", "right"], "left").join(after.select(F.col("word").alias("right"), "q", "n_wq"), ["right", "q"], "left")
@@ -153,7 +154,7 @@ def misread_characters(body: DataFrame) -> DataFrame:
     # What is seen of a usual character beside its right place must be no mere chance of its many places.
     total = n.groupBy("c").agg(F.sum("n").alias("total"))
     single = single.join(pairs, ["c", "right"]).join(total, "c").where("times >= 0.025 * total").select("c", "right")
-    bad = light(cut(rare.join(single, ["c", "right"]).select("around", "c", "right")), LIGHT_ROWS)
+    bad = light(cut(rare.join(single, ["c", "right"]).select("around", "c", "right")))
     return x.join(bad, ["around", "c"]).select("id", "line_no", "at", "right")
 
 
@@ -186,16 +187,21 @@ def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, broken, words, chars = scan_noise(table(spark, sf_dir, "writing_style_logs").select("id", "file_name", "chunk_index", "raw_content"))
     fix = words.groupBy("id", "line_no").agg(F.collect_set(F.struct("word", "right")).alias("fix"))
     put = chars.groupBy("id", "line_no").agg(F.collect_set(F.struct("at", "right")).alias("put"))
-    x = lines.where("not page_no and not header").join(fix, ["id", "line_no"], "left").join(put, ["id", "line_no"], "left").join(broken, ["id", "line_no"], "left")
-    same_case = lambda p: F.when(p["word"].rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(p["right"], 1, 1)), F.substring(p["right"], 2, 10_000))).otherwise(p["right"])
-    t = F.aggregate(F.coalesce("put", F.array().cast("array<struct<at:int,right:string>>")), F.col("s"), lambda acc, p: F.overlay(acc, p["right"], p["at"] + 1, F.lit(1)))
-    t = F.aggregate(F.coalesce("fix", F.array().cast("array<struct<word:string,right:string>>")), t, lambda acc, p: F.replace(acc, p["word"], same_case(p)))
-    t = F.when(F.col("whole").isNotNull(), F.regexp_replace(t, f"[{HYPHENS}]$", "")).otherwise(t)
+    x = lines.where("not page_no and not header").join(fix, ["id", "line_no"], "left").join(put, ["id", "line_no"], "left").join(broken.drop("file_name", "chunk_index"), ["id", "line_no"], "left")
+    # The rest of a word that is broken over a chunk's end goes to its first part, in every copy of both chunks.
+    taken = broken.where("crosses").groupBy("file_name", (F.col("chunk_index") + 1).alias("chunk_index")).agg(F.max("rest").alias("taken"))
     per = Window.partitionBy("id").orderBy("line_no")
+    x = x.withColumn("first", F.row_number().over(per) == 1).join(taken, ["file_name", "chunk_index"], "left")
+    same_case = lambda p: F.when(p["word"].rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(p["right"], 1, 1)), F.substring(p["right"], F.lit(2), F.length(p["right"])))).otherwise(p["right"])
+    whole_word = lambda p: F.concat(F.lit(_BEFORE + r"\Q"), p["word"], F.lit(r"\E" + _AFTER))
+    t = F.aggregate(F.coalesce("put", F.array().cast("array<struct<at:int,right:string>>")), F.col("s"), lambda acc, p: F.overlay(acc, p["right"], p["at"] + 1, F.lit(1)))
+    t = F.when(F.col("first") & F.startswith(t, F.col("taken")), F.ltrim(F.substring(t, F.length("taken") + 1, F.length(t)))).otherwise(t)
+    t = F.aggregate(F.coalesce("fix", F.array().cast("array<struct<word:string,right:string>>")), t, lambda acc, p: F.regexp_replace(acc, whole_word(p), same_case(p)))
+    t = F.when(F.col("whole").isNotNull(), F.concat(F.regexp_replace(t, f"[{HYPHENS}]$", ""), F.when(F.col("crosses"), F.col("rest")).otherwise(""))).otherwise(t)
     x = x.withColumn("t", t).withColumn("glued", F.lag(F.col("whole").isNotNull()).over(per)).withColumn("prev_s", F.lag("s").over(per)).withColumn("len", F.max(F.length("s")).over(Window.partitionBy("id")))
     # A line that ends a sentence well before the edge ends its paragraph.
     gap = F.when(F.col("prev_s").isNull(), "").when(F.col("glued"), "").when(F.col("prev_s").rlike(r"[.!?。！？:：]$") & (F.length("prev_s") < 0.7 * F.col("len")), "\n\n").when(F.col("prev_s").rlike("[一-鿿，。、）]$"), "").otherwise(" ")
-    return x.withColumn("t", F.concat(gap, "t")).groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "t"))), lambda p: p["t"]), "").alias("repaired"))
+    return x.withColumn("t", F.concat(gap, "t")).groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "t"))), lambda p: p["t"]), "").alias("repaired")).withColumn("repaired", F.trim("repaired"))
 
 
 QUERIES = {"p3_found": p3_found, "p3_repaired": p3_repaired}

@@ -42,5 +42,23 @@ def test_headers_that_alternate(spark, tmp_path):
     assert len(back) == 12 and not any("GARDEN" in t or "Final Window" in t for t in back.values())
 
 
+def test_words_over_a_chunks_end_and_words_in_words(spark, tmp_path):
+    rows = []
+    for k in range(8):
+        ends = "We talked about the garden and the win-" if k == 0 else "We talked about the garden."
+        rows += [(k * 10, f"s{k}.pdf", 0, "\n".join([*GOOD, f"- {10 + k} -", ends])), (k * 10 + 1, f"s{k}.pdf", 1, "\n".join(["dow stood open there all night" if k == 0 else "The window stood open", *GOOD]))]
+    rows += [(900 + i, "s0.pdf", 0, rows[0][3]) for i in range(2)] + [(910, "s0.pdf", 1, rows[1][3])]  # the same chunks again
+    rows += [(1000 + i, "clean.txt", i, "the tin rim was near the others and the tin rim was there") for i in range(60)]
+    rows += [(2000, "s1.pdf", 2, "the tiu rim was near the tiui of others\n- 12 -")]
+    spark.createDataFrame(rows, "id long, file_name string, chunk_index int, raw_content string").write.parquet(f"{tmp_path}/writing_style_logs.parquet")
+    back = {r.id: r.repaired for r in p3_repaired(spark, str(tmp_path)).collect()}
+    for i in (0, 900, 901):
+        assert back[i].endswith("and the window")
+    for i in (1, 910):
+        assert back[i].startswith("stood open there all night")
+    assert back[11].startswith("The window stood open")
+    assert "tiui" in back[2000]
+
+
 def test_empty(spark):
     assert all(x.count() == 0 for x in scan_noise(logs(spark).limit(0)))
