@@ -6,9 +6,10 @@ anchor to the datum around it and validate its shape. The name vocabulary is lea
 stand in places where only names stand (before an address in brackets, before "wrote", in a contact block, after
 "belongs to"), counted in Spark with map-side aggregation.
 
-The vocabulary saturates (it holds distinct given names and surnames), but it has no proven bound, so its size is
-checked: up to ``BROADCAST_NAMES`` names it is broadcast; beyond, each text's own words are hash-joined with it
-and the text is parsed with the names that matched. Both ways give the same result.
+The vocabulary, with the names' garbled forms, saturates (it holds distinct given names and surnames), but it has no
+proven bound, so its size is checked: up to ``BROADCAST_NAMES`` forms it is broadcast; beyond, whatever in a text may be
+a name (what begins and ends where letters do) is hash-joined with it, and a batch of texts is parsed with the names that
+stand in it. Both ways give the same result.
 
 Defined results: null and empty texts have no data and stay as they are. Each datum lies on one line. Repeated
 rows count each on their own. Texts of any length are processed whole; extra columns are not read.
@@ -106,22 +107,63 @@ _ADDR_ZH = re.compile(r"[一-鿿]{2}[市縣](?:[一-鿿]{1,3}[區鄉鎮市])?[
 
 
 _DIGIT = re.compile(r"\d")
+#: Words that announce a number of a person, where the number alone doesn't tell.
+ID_CUES = ["social security", "ssn", "tax id", "tax number", "tin", "steuer-id", "steuernummer", "identifikationsnummer", "passport", "reisepass", "ausweis", "insurance number", "身分證", "證號", "護照"]
+#: How far from its cue such a number may begin.
+CUE_REACH = 40
+
+
+def tax_digits(n: str) -> bool:
+    """Whether the last of eleven digits checks the others (modulo 11, 10), as German tax numbers have it."""
+    product = 10
+    for c in n[:-1]:
+        total = (int(c) + product) % 10 or 10
+        product = total * 2 % 11
+    return n[0] != "0" and len(set(n[:-1])) < 10 and (11 - product) % 10 == int(n[-1])
+
+
+def name_forms(name: str) -> set[str]:
+    """The name, and what it is when a letter outside ASCII was read in a wrong encoding."""
+    from .mojibake import CHAINS, garble
+
+    return {name} | {g for c in CHAINS if not name.isascii() and (g := garble(name, c)) and "�" not in g and g.isprintable() and len(g) > 2}
+
+
+def _expand(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in it:
+        out = [(k, f) for k, n in zip(pdf["kind"], pdf["name"], strict=True) for f in (name_forms(n) if k != "zh" else (n,))]
+        yield pd.DataFrame(out, columns=["kind", "name"])
+
+
+_RUN = re.compile(r"[^\x00-\x26\x28-\x2c\x2e-\x40\x5b-\x60\x7b-\x7f\s]+")
+
+
+def possible_names(text: str, longest: int) -> set[str]:
+    """In lower case, whatever in the text begins and ends where letters do, without blanks, and has at most `longest`
+    characters: all that the anchors of names can meet."""
+    out: set[str] = set()
+    for run in {m[0] for m in _RUN.finditer(text)}:
+        low = run.lower()
+        if len(low) != len(run):
+            low = "".join(c.lower() if len(c.lower()) == 1 else c for c in run)
+        alpha = [c.isalpha() for c in low]
+        starts = [i for i in range(len(low)) if not (i and alpha[i - 1])]
+        ends = [i + 1 for i in range(len(low)) if not (i + 1 < len(low) and alpha[i + 1])]
+        out.update(low[a:b] for a in starts for b in ends if a < b <= a + longest)
+    return out
 
 
 class Parser:
     """The parsers of one worker, for a vocabulary of names."""
 
     def __init__(self, given: set[str], surname: set[str], zh: set[str]) -> None:
-        from .mojibake import CHAINS, garble
-
-        odd = lambda s: {g for c in CHAINS for x in s if not x.isascii() and (g := garble(x, c)) and "�" not in g and g.isprintable() and len(g) > 2}
-        self.given, self.surname = given | odd(given), surname | odd(surname)
+        self.given, self.surname = given, surname
         self.lower = {x.lower() for x in self.given}, {x.lower() for x in self.surname}
         self.zh = "".join(sorted(zh))
         self.zh_name = re.compile(f"[{SURNAMES_ZH}]?[{self.zh}]{{2}}") if zh else None
         self.anchors = ahocorasick.Automaton()
         at = ["@", "＠", "[at]", "(at)", "{at}", "<at>", "[ät]", "(ät)", " at ", "[@]"]
-        for kind, found in (("at", at), ("en", [f" {x.lower()}" for x in STREET_WORDS]), ("de", [f"{x} " for x in STREET_ENDS]), ("zh", ["號"]), ("tax", ["統編", "統一編號"]), ("name", self.lower[0] | self.lower[1])):
+        for kind, found in (("at", at), ("en", [f" {x.lower()}" for x in STREET_WORDS]), ("de", [f"{x} " for x in STREET_ENDS]), ("zh", ["號"]), ("tax", ["統編", "統一編號"]), ("cue", ID_CUES), ("name", self.lower[0] | self.lower[1])):
             for w in found:
                 old = self.anchors.get(w, (frozenset(), 0))
                 self.anchors.add_word(w, (old[0] | {kind}, len(w)))
@@ -141,9 +183,11 @@ class Parser:
         low = line.lower()
         if len(low) != len(line):
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in line)
-        kinds, names = set(), []
+        kinds, names, cues = set(), [], []
         for end, (k, size) in self.anchors.iter(low):
             kinds |= k
+            if "cue" in k:
+                cues.append(end + 1)
             if "name" in k:
                 a = end + 1 - size
                 if not (a and low[a - 1].isalpha()) and not low[end + 1 : end + 2].isalpha():
@@ -180,9 +224,10 @@ class Parser:
                 for m in _ZH_TAX.finditer(folded):
                     take(m.start(1), m.end(1), "id_no")
             for m in _ID.finditer(folded) if digits >= 6 else ():
-                if re.search(r"\d{9}$", m[0]) and m[0].isdigit() and len(m[0]) == 9:
+                # Nine digits, or eleven whose last one doesn't check the others, need a word that announces them.
+                if m[0].isdigit() and not (len(m[0]) == 11 and tax_digits(m[0])) and not any(0 <= m.start() - c <= CUE_REACH for c in cues):
                     continue
-                if not _NO_ID_BEFORE.search(folded[: m.start()]) and not re.match(r"\d{11}$", m[0]):
+                if not _NO_ID_BEFORE.search(folded[: m.start()]):
                     take(m.start(), m.end(), "id_no")
             for m in _PHONE.finditer(folded) if digits >= 8 else ():
                 n = sum(c.isdigit() for c in m[0])
@@ -241,7 +286,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_parser(texts: DataFrame, names: DataFrame, work: Callable, schema: str) -> DataFrame:
     """mapInPandas of `work(parser, pdf)` with the vocabulary broadcast, or joined to each text if it is large."""
-    names = cut(names)
+    names = cut(names.select("kind", "name").mapInPandas(_expand, "kind string, name string").distinct())
     if names.count() <= BROADCAST_NAMES:
         sets: dict[str, set] = {"given": set(), "surname": set(), "zh": set()}
         for r in names.collect():
@@ -254,21 +299,29 @@ def _with_parser(texts: DataFrame, names: DataFrame, work: Callable, schema: str
                 yield work(p, pdf)
 
         return texts.mapInPandas(run, schema)
-    own = texts.select("tbl", "row_id", F.explode(F.array_distinct(F.expr(r"flatten(transform(regexp_extract_all(text, '([\\p{L}-]+)', 1), w -> array(w, initcap(w))))"))).alias("name"))
-    own = own.unionByName(texts.select("tbl", "row_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("([一-鿿])"), F.lit(1)))).alias("name"))).distinct()
-    per = own.join(names, "name").groupBy("tbl", "row_id").agg(F.collect_set(F.struct("kind", "name")).alias("names"))
+    # Characters of Chinese given names are at most one in 0.004 of all: a few hundred.
+    zh = {r["name"] for r in names.where("kind = 'zh'").collect()}
+    words = names.where("kind <> 'zh'").select(F.lower("name").alias("low"), "kind", "name")
+    longest = words.agg(F.max(F.length("name"))).first()[0] or 0
+
+    def met(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            for i in range(0, len(pdf), 200):
+                part = pdf.iloc[i : i + 200]
+                out = [(t, r, w) for t, r, text in zip(part["tbl"], part["row_id"], part["text"], strict=True) for w in possible_names(text, longest)]
+                yield pd.DataFrame(out, columns=["tbl", "row_id", "low"])
+
+    per = texts.mapInPandas(met, "tbl string, row_id long, low string").hint("merge").join(words, "low").groupBy("tbl", "row_id").agg(F.collect_set(F.struct("kind", "name")).alias("names"))
 
     def each(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            for i in range(len(pdf)):
-                row = pdf.iloc[i : i + 1]
-                sets = {"given": set(), "surname": set(), "zh": set()}
-                got = row["names"].iloc[0]
-                for x in got if got is not None else []:
+            sets: dict[str, set] = {"given": set(), "surname": set(), "zh": zh}
+            for own in pdf["names"]:
+                for x in own if own is not None else []:
                     sets[x["kind"]].add(x["name"])
-                yield work(Parser(**sets), row)
+            yield work(Parser(**sets), pdf)
 
-    return texts.join(per, ["tbl", "row_id"], "left").mapInPandas(each, schema)
+    return texts.join(per.hint("merge"), ["tbl", "row_id"], "left").mapInPandas(each, schema)
 
 
 def _found(p: Parser, pdf: pd.DataFrame) -> pd.DataFrame:

@@ -1,7 +1,7 @@
 from quillspark.llm import pii
-from quillspark.llm.pii import Parser, p5_found, p5_masked
+from quillspark.llm.pii import Parser, name_forms, p5_found, p5_masked, possible_names, tax_digits
 
-P = Parser({"Kester", "Rose", "Günther"}, {"Ashford", "Selwell"}, set("芷怡柏睿"))
+P = Parser({"Kester", "Rose", *name_forms("Günther")}, {"Ashford", "Selwell"}, set("芷怡柏睿"))
 CASES = [
     ("Mail a.b+c@x-y.example or d.e [at] postern [dot] test, f＠g.test", {("email", "a.b+c@x-y.example"), ("email", "d.e [at] postern [dot] test"), ("email", "f＠g.test")}),
     ("Ring 0491 570 731, +44 7700 900509, (212) 555-0143, 617.555.0112 or ０９００－０１１－７８６.", {("phone", x) for x in ("0491 570 731", "+44 7700 900509", "(212) 555-0143", "617.555.0112", "０９００－０１１－７８６")}),
@@ -13,6 +13,8 @@ CASES = [
     ("The rose by the gate is out again. Ping me @desk if anything breaks.", set()),
     ("林芷怡說星期五會到。柏睿：", {("person", "林芷怡"), ("person", "柏睿")}),
     ("Das Paket geht an Mühlenweg 78, 34436 Tannhagen. Mühlenweg ist lang.", {("address", "Mühlenweg 78, 34436 Tannhagen")}),
+    ("GÃ¼nther Ashford met Rose-Kester; (Günther) and Kester’s GÃ¼nther, Selwell", {("person", x) for x in ("GÃ¼nther Ashford", "Rose", "Kester", "Günther", "GÃ¼nther", "Selwell")}),
+    ("Social security 123456789, order 123456789, 123456789; Steuer 36574261809, 36574261808.", {("id_no", "123456789"), ("id_no", "36574261809")}),
     ("", set()),
 ]
 
@@ -23,7 +25,7 @@ def test_parsers():
 
 
 def rows(spark, tmp_path):
-    texts = [f"{g} {s} <x@y.test> writes:\n{c}" for c, _ in CASES for g in ("Kester", "Rose") for s in ("Ashford", "Selwell", "Wexby")] + ["王芷怡於2020-01-01寫道:", "李柏睿於2020-01-01寫道:"] * 5
+    texts = [f"{g} {s} <x@y.test> writes:\n{c}" for c, _ in CASES for g in ("Kester", "Rose", "Günther") for s in ("Ashford", "Selwell", "Wexby")] + ["王芷怡於2020-01-01寫道:", "李柏睿於2020-01-01寫道:"] * 5
     spark.createDataFrame([(i, t, "clash") for i, t in enumerate([*texts, None, "", "x " * 100_000])], "msg_no long, page_content string, kind string").write.parquet(f"{tmp_path}/message_data.parquet")
     spark.createDataFrame([], "id long, raw_content string").write.parquet(f"{tmp_path}/writing_style_logs.parquet")
     return str(tmp_path)
@@ -38,3 +40,12 @@ def test_broadcast_and_joined_names_agree(spark, tmp_path, monkeypatch):
     assert a == b
     masked = {r.row_id: r.masked for r in p5_masked(spark, d).collect()}
     assert masked[0].startswith("[PERSON] <[EMAIL]> writes:\nMail [EMAIL] or [EMAIL], [EMAIL]")
+
+
+def test_digits_that_check_others():
+    assert tax_digits("36574261809") and not tax_digits("36574261808") and not tax_digits("06574261809")
+
+
+def test_possible_names_are_all_that_anchors_can_meet():
+    got = possible_names("GÃ¼nther, Anna-Lena’s (x) 王芷怡", 12)
+    assert {"gã¼nther", "anna", "lena", "anna-lena", "x"} <= got and "gã¼nth" not in got
