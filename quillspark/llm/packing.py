@@ -28,8 +28,9 @@ from ..session import cut, table
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The public pattern by which that tokenizer splits text.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Hashed shares in which the texts of one size are numbered.
-SHARES = 512
+#: The texts of one size are numbered in hashed shares, of which there is one for so many texts of any size: should a
+#: size hold all texts, a task numbers about so many.
+SHARE_TEXTS = 20_000
 
 _encoders: dict[str, object] = {}
 
@@ -133,7 +134,8 @@ def pack(sizes: DataFrame, specs: DataFrame) -> DataFrame:
     # Pieces of a text that exceeds the capacity: full ones and a rest.
     x = x.withColumn("piece", F.explode(F.expr("sequence(0, cast((all - 1) div capacity as int))")))
     x = x.withColumn("first_token", F.col("piece") * F.col("capacity")).withColumn("tokens", F.least("capacity", F.col("all") - F.col("first_token")))
-    x = x.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARES)).cast("int"))
+    shares = -(-sizes.count() // SHARE_TEXTS) or 1
+    x = x.withColumn("share", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shares)).cast("int"))
     per_share = cut(x.groupBy("container_kind", "tokens", "share").agg(F.count("*").alias("n")))
     histogram = per_share.groupBy("container_kind", "tokens").agg(F.sum("n").alias("n")).collect()  # at most one row for each token of each capacity
     rows = []

@@ -44,3 +44,21 @@ def test_nulls_empty_and_long_texts(spark):
     got = {r.doc_id: r.tokens for r in token_sizes(docs).collect()}
     assert set(got) == {3, 4, 5} and got[3] == 2 == got[5] and got[4] >= 5000
     assert pack(token_sizes(docs.limit(0)), spark.createDataFrame([("a", 10)], "container_kind string, capacity_tokens long")).count() == 0
+
+
+def test_fill_is_near_the_lower_bound(spark, monkeypatch):
+    import random
+
+    from quillspark.llm import packing
+
+    r = random.Random(5)
+    for shares in (20_000, 100):
+        monkeypatch.setattr(packing, "SHARE_TEXTS", shares)
+        sizes = [min(9000, int(r.lognormvariate(5.5, 1.2)) + 1) for _ in range(3000)] + [120] * 1500
+        df = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, tokens long")
+        for capacity in (512, 2048):
+            specs = spark.createDataFrame([("k", capacity)], "container_kind string, capacity_tokens long")
+            out = packing.pack(df, specs).toPandas()
+            assert out.groupby("container_id").tokens.sum().max() <= capacity and out.tokens.sum() == sum(sizes)
+            assert not out.duplicated(["container_id", "place"]).any()
+            assert out.container_id.nunique() <= -(-sum(sizes) // capacity) * 1.02 + 1
