@@ -42,3 +42,24 @@ def test_leaf_terms_weigh_rare_words_little(spark):
     rows = [(0, "", 100), (1, "", 100), (0, "violin", 90), (1, "violin", 10), (0, "rare", 1), (0, "the", 100), (1, "the", 100)]
     got = {r.term: r.gain for r in leaf_terms(spark.createDataFrame(rows, "leaf int, term string, n long")).where("leaf = 0").collect()}
     assert got["violin"] > 10 * got["rare"] and "" not in got and got.get("the", 0) < 0.2 * got["violin"]
+
+
+def test_all_labelled_documents_weigh_terms(spark, monkeypatch):
+    from quillspark.llm import subjects
+
+    class Seen(Exception):
+        pass
+
+    def weights(counts, areas):
+        raise Seen({r.term: r.n for r in counts.where("area = 'music'").collect()})
+
+    monkeypatch.setattr(subjects, "_weights", weights)
+    monkeypatch.setattr(subjects, "with_leaves", lambda docs: docs.withColumn("leaf", F.lit(0)))
+    docs = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit("The violin again.").alias("text"))
+    labels = docs.select("doc_id", F.explode(F.array(F.lit("music"), F.when(F.col("doc_id") < 1000, "sport"), F.lit("unknown"))).alias("subject"))
+    try:
+        subjects.document_subjects(docs, labels.union(labels), spark.createDataFrame([("music",), ("sport",)], "subject string"))
+    except Seen as x:
+        assert x.args[0]["violin"] == 24_500  # 1,000 documents have two areas, half of each counts
+    else:
+        raise AssertionError
