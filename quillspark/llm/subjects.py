@@ -1,7 +1,7 @@
 """Problem 8: the subject areas of each document.
 
-Normalised document vectors are clustered by bisecting k-means; the centres are fitted on a sample of at most
-``FIT_DOCS`` documents, and every document is put into its leaf. Leaves are labelled by their discriminative terms, counted over all documents, with what
+Normalised document vectors are clustered by bisecting k-means; the centres are fitted on all documents, and every
+document is put into its leaf. Leaves are labelled by their discriminative terms, counted over all documents, with what
 all hand-labelled documents say of these terms: each leaf has a mixture of areas. A document's own mixture of leaves, by their terms in its text, gives the areas that it may
 treat, and the mixtures of the leaves a term stands in, beside the sample, what the term tells of its sentence. Of these
 areas a document has those that at least two of its sentences deal with, or the only one of a short text.
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..session import cut, light, table
 
 LEAVES, FEATURES, ITERATIONS = 96, 1 << 12, 6
-#: Documents, taken by a hash of their key, on which the centres are fitted.
-FIT_DOCS = 20_000
+#: Documents of a partition while the centres are fitted: each partition has a sum of ``FEATURES`` numbers for each leaf.
+FIT_PART = 250_000
 #: Discriminative terms of each leaf.
 TOP = 120
 #: A text of at most so many sentences is short.
@@ -59,7 +59,7 @@ def document_terms(docs: DataFrame) -> DataFrame:
 
 
 def _sample(df: DataFrame, most: int, n: int) -> DataFrame:
-    """Some `most` of `n` documents, the same ones in every run."""
+    """Some `most` of `n` documents, the same ones in every run; for trials, the queries take all documents."""
     return df if n <= most else df.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < most)
 
 
@@ -74,7 +74,8 @@ def with_leaves(docs: DataFrame) -> DataFrame:
     tf = HashingTF(inputCol="own", outputCol="tf", numFeatures=FEATURES, binary=True).transform(docs.withColumn("own", F.flatten("sents")))
     idf = IDF(inputCol="tf", outputCol="idf", minDocFreq=3).fit(tf.select("tf"))
     vectors = Normalizer(inputCol="idf", outputCol="features").transform(idf.transform(tf))
-    fit = cut(_sample(vectors, FIT_DOCS, docs.count()).select("features").repartition(max(8, docs.sparkSession.sparkContext.defaultParallelism)))
+    parts = max(8, docs.sparkSession.sparkContext.defaultParallelism, math.ceil(docs.count() / FIT_PART))
+    fit = cut(vectors.select("features").repartition(parts))
     model = BisectingKMeans(k=LEAVES, maxIter=ITERATIONS, seed=7, minDivisibleClusterSize=0.001).fit(fit)
     return model.transform(vectors).select("doc_id", "sents", F.col("prediction").alias("leaf"))
 

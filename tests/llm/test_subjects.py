@@ -63,3 +63,21 @@ def test_all_labelled_documents_weigh_terms(spark, monkeypatch):
         assert x.args[0]["violin"] == 24_500  # 1,000 documents have two areas, half of each counts
     else:
         raise AssertionError
+
+
+def test_centres_are_fitted_on_all_documents(spark, monkeypatch):
+    from quillspark.llm import subjects
+
+    class Fit(subjects.BisectingKMeans):
+        def fit(self, df):
+            rows.append((df.count(), df.rdd.getNumPartitions()))
+            return super().fit(df)
+
+    rows = []
+    monkeypatch.setattr(subjects, "BisectingKMeans", Fit)
+    monkeypatch.setattr(subjects, "LEAVES", 2)
+    monkeypatch.setattr(subjects, "FIT_PART", 2000, raising=False)
+    words = F.array(F.when(F.col("id") % 2 == 0, "violin").otherwise("striker"), F.lit("lamp"))
+    docs = spark.range(25_000).select(F.col("id").alias("doc_id"), F.array(words).alias("sents"))
+    assert subjects.with_leaves(docs).groupBy("leaf").count().count() == 2
+    assert rows == [(25_000, 13)]
